@@ -1,4 +1,4 @@
-"""Row fingerprints and metric labels."""
+"""Row fingerprints, metric labels and text literals."""
 
 from __future__ import annotations
 
@@ -17,6 +17,12 @@ FINGERPRINT = "delta_id"
 LABEL_PREFIX = r"^(perc_)?(pdo_from|rdo_from|pde_by|rde_by)_"
 
 
+def text_array(values: Sequence[str | None]) -> Column:
+    """Array literal of texts, as one expression however long the list."""
+    listed = ", ".join("null" if v is None else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values)
+    return F.expr(f"cast(array({listed}) as array<string>)")
+
+
 def _as_text(column: str, data_type: T.DataType) -> Column:
     missing = MISSING_WHOLE if isinstance(data_type, T.IntegralType) else MISSING_OTHER
     return F.coalesce(F.col(column).cast("string"), F.lit(missing))

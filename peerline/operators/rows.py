@@ -9,6 +9,8 @@ from itertools import chain
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from peerline.session import materialise
+
 
 def rename_columns(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     """Rename by {old: new}; names that are absent are passed over."""
@@ -77,11 +79,13 @@ def dedup_rows(df: DataFrame, columns: Sequence[str], order: str) -> DataFrame:
 def start_at_anchor(df: DataFrame, group: Sequence[str], order: str, is_anchor: Column) -> DataFrame:
     """Rows of each group from its first anchor row onward; groups without one vanish.
 
-    The anchor is found by a partial aggregate and joined back. A window over
-    the group would sort a whole group in one task.
+    A window over the group would sort a whole group in one task. Instead the
+    anchors are aggregated and stored first, so that the join knows their true
+    size: few groups are sent to the tasks and `df` is not moved at all.
     """
     group = list(group)
-    anchors = df.filter(is_anchor).groupBy(*group).agg(F.min(order).alias("_anchor"))
+    found = df.filter(is_anchor).groupBy(*group).agg(F.min(order).alias("_anchor"))
+    anchors = materialise(found, "anchors")
     kept = df.join(anchors, group, "inner").filter(F.col(order) >= F.col("_anchor"))
     return kept.select(*df.columns)
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from peerline.functions.numbers import scrub_placeholder, to_decimal, to_whole
 from peerline.functions.periods import quarter_from_name
+from peerline.functions.text import text_array
 from peerline.operators.rows import dedup_rows, drop_sparse_rows, not_null, peer_flag, start_at_anchor
+from peerline.session import materialise
 from peerline.sources.grid import DEFAULT_WIDTH, file_name
 from peerline.specs import PEER_FLAG, QUARTER, Measure, TableSpec
 
@@ -17,65 +19,54 @@ LEAST_CELLS_PER_COLUMN = 20
 LEAST_CELLS_PER_ROW = 3
 
 
-def _has_cells(cells: Column) -> Column:
-    return F.exists(cells, lambda c: c.isNotNull())
-
-
-def _headers(grid: DataFrame, above: int) -> DataFrame:
-    """Per file: header texts by position, the header's row, and the cells filled above the data.
-
-    The rank filter is applied before the shuffle, so each task sends on a
-    handful of rows per file.
-    """
-    in_file = Window.partitionBy("file").orderBy("row_no")
-    top = grid.withColumn("_rank", F.row_number().over(in_file)).filter(F.col("_rank") <= above + 1)
-    named = F.transform(
-        "cells", lambda c, i: F.coalesce(c, F.concat(F.lit("Unnamed: "), i.cast("string")))
-    )
-    header = F.col("_rank") == above + 1
-    # `top` holds above + 1 rows per file, so these groups are bounded.
-    return top.groupBy("file").agg(
-        F.max(F.when(header, named)).alias("names"),
-        F.max(F.when(header, F.col("row_no"))).alias("header_row"),
-        F.array_agg("cells").alias("top_cells"),
-    )
-
-
-def _filled_per_column(grid: DataFrame, width: int) -> DataFrame:
-    """Per file: how many cells of each column are filled, over all rows."""
-    counts = [F.count(F.get("cells", F.lit(i))) for i in range(width)]
-    return grid.groupBy("file").agg(F.array(*counts).alias("filled"))
+def _profile(grid: DataFrame, width: int) -> DataFrame:
+    """Per file: its first row and how many cells of each column are filled, over all rows."""
+    counts = ", ".join(f"count(get(cells, {i}))" for i in range(width))
+    return grid.groupBy("file").agg(F.min("row_no").alias("first_row"), F.expr(f"array({counts}) as filled"))
 
 
 def _layout(grid: DataFrame, spec: TableSpec, width: int, above: int, least: int) -> DataFrame:
-    """Per file: where each wanted column sits and which columns are filled enough to count.
+    """Per file: the header's row, where each wanted column sits, which other columns count.
 
     A header that is absent, or whose column is nearly empty, is an error that
-    names the file and the column.
+    names file and header.
     """
-    joined = _headers(grid, above).join(_filled_per_column(grid, width), "file")
+    profile = materialise(_profile(grid, width), f"{spec.name}-profile")
+    header_row = F.col("first_row") + above
+    top = grid.join(profile, "file").filter(F.col("row_no") <= header_row)
+    named = F.transform("cells", lambda c, i: F.coalesce(c, F.concat(F.lit("Unnamed: "), i.cast("string"))))
+    # These groups hold the few rows down to the header; `filled` is the same in all of them.
+    heads = top.groupBy("file").agg(
+        F.max(header_row).alias("header_row"),
+        F.max(F.when(F.col("row_no") == header_row, named)).alias("names"),
+        F.array_agg("cells").alias("top_cells"),
+        F.max("filled").alias("filled"),
+    )
     kept = F.transform(
         "filled",
         lambda n, i: n - F.size(F.filter("top_cells", lambda row: F.get(row, i).isNotNull())) >= least,
     )
-    wide_file = F.raise_error(F.concat(F.lit(f"more than {width} columns in "), F.col("file")))
-    joined = joined.withColumn("kept", F.when(F.size("names") <= width, kept).otherwise(wide_file))
+    heads = heads.withColumns({"kept": kept, "wanted": text_array(spec.headers)})
 
-    def position(column: str, header: str) -> Column:
-        at = F.array_position("names", header)
+    def position(header: Column) -> Column:
+        return F.array_position("names", header).cast("int") - 1
 
-        def refuse(reason: str) -> Column:
-            return F.raise_error(F.concat(F.lit(f"{spec.name}.{column}: {reason} in "), F.col("file"))).cast("int")
+    absent = F.filter("wanted", lambda h: position(h) < 0)
+    sparse = F.filter("wanted", lambda h: ~F.get("kept", position(h)))
 
-        return (
-            F.when(F.coalesce(at, F.lit(0)) == 0, refuse(f"no header '{header}'"))
-            .when(~F.get("kept", (at - 1).cast("int")), refuse("too few cells"))
-            .otherwise((at - 1).cast("int"))
-        )
+    def refuse(reason: str, headers: Column) -> Column:
+        message = F.concat(F.lit(f"{spec.name}: {reason} "), F.array_join(headers, " | "), F.lit(" in "), F.col("file"))
+        return F.raise_error(message).cast("array<int>")
 
-    names = [*spec.key_columns, *spec.measure_columns]
-    positions = F.array(*(position(c, h) for c, h in zip(names, spec.headers)))
-    return joined.select("file", "header_row", "kept", positions.alias("positions"))
+    positions = (
+        F.when(F.size("names") > width, refuse(f"more than {width} columns", F.array()))
+        .when(F.size(absent) > 0, refuse("no header", absent))
+        .when(F.size(sparse) > 0, refuse(f"fewer than {least} cells under", sparse))
+        .otherwise(F.transform("wanted", position))
+    )
+    placed = heads.withColumn("positions", positions)
+    others = F.transform("kept", lambda k, i: k & ~F.array_contains("positions", i))
+    return placed.select("file", "header_row", "positions", others.alias("others"))
 
 
 def _typed(measure: Measure) -> Column:
@@ -98,23 +89,27 @@ def clean(
     Each file is read by its own header. Duplicates are judged on all columns
     that are filled enough, before the wanted ones are picked; the anchor row
     is found by row order, so a duplicate dropped above it cannot shift it.
+
+    The per-file layout and the deduplicated rows are written as working tables:
+    both are used twice, and Catalyst then knows the layout's true size and
+    sends it to the tasks only if it is small. The grid itself is shuffled once,
+    for the duplicates, with copies collapsed beforehand.
     """
-    layout = _layout(grid, spec, width, above, least_per_column)
-    body = grid.join(layout, "file").filter((F.col("row_no") > F.col("header_row")) & _has_cells(F.col("cells")))
-    masked = F.transform("cells", lambda c, i: F.when(F.get("kept", i), c))
-    body = body.select("file", "row_no", "positions", masked.alias("cells"))
-
-    # The wanted cells lead and the others follow: together they are the whole
-    # row, so grouping by both is grouping by the row.
-    body = body.select(
+    layout = materialise(_layout(grid, spec, width, above, least_per_column), f"{spec.name}-layout")
+    body = grid.join(layout, "file").filter(F.col("row_no") > F.col("header_row"))
+
+    # Wanted cells as columns, then all other cells that count: together they
+    # are the whole row, so grouping by them is grouping by the row. Wholly
+    # empty rows need no filter of their own, they go with the missing ids.
+    names = [*spec.key_columns, *spec.measure_columns]
+    body = body.selectExpr(
         "file",
         "row_no",
-        F.transform("positions", lambda p: F.get("cells", p)).alias("wanted"),
-        F.filter("cells", lambda c, i: ~F.array_contains("positions", i)).alias("others"),
+        *(f"get(cells, get(positions, {k})) as {c}" for k, c in enumerate(names)),
+        "filter(cells, (c, i) -> get(others, i)) as other_cells",
     )
-    rows = dedup_rows(body, ["file", "wanted", "others"], "row_no")
-    names = [*spec.key_columns, *spec.measure_columns]
-    rows = rows.select("file", "row_no", *(F.get("wanted", F.lit(k)).alias(c) for k, c in enumerate(names)))
+    rows = dedup_rows(body, ["file", *names, "other_cells"], "row_no").drop("other_cells")
+    rows = materialise(rows, f"{spec.name}-rows")
 
     rows = start_at_anchor(rows, ["file"], "row_no", F.col(spec.entity_column) == spec.anchor)
     rows = drop_sparse_rows(not_null(rows, spec.id_column), least_per_row, names)

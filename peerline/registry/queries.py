@@ -24,7 +24,7 @@ from peerline.functions.periods import (
     quarter_of_date,
     quarter_year,
 )
-from peerline.functions.text import FINGERPRINT, add_fingerprint, clean_label
+from peerline.functions.text import FINGERPRINT, add_fingerprint, clean_label, text_array
 from peerline.operators import benchmark as B
 from peerline.operators import rows as R
 from peerline.operators.delta import fresh_rows, redundant_rows
@@ -415,19 +415,15 @@ def _sheet_grid(spark: SparkSession, folder: str) -> DataFrame:
         [None] * 4 + ["count"] * 12,
         ["E92000001", spec.anchor, None, None, "100", "90", "50", "40"] + [None] * 7 + ["25.500"],
     ]
-    lines = F.array(*(F.struct(F.lit(i).cast("bigint").alias("row_no"), _text_array(r).alias("cells")) for i, r in enumerate(top)))
+    lines = F.array(*(F.struct(F.lit(i).cast("bigint").alias("row_no"), text_array(r).alias("cells")) for i, r in enumerate(top)))
     head = per_customer.select(name.alias("file")).distinct().select("file", F.inline(lines))
     return body.unionByName(head)
 
 
-def _text_array(values: list[str | None]) -> F.Column:
-    listed = ", ".join("null" if v is None else "'" + v.replace("'", "''") + "'" for v in values)
-    return F.expr(f"cast(array({listed}) as array<string>)")
-
-
 def clean_sheets(spark: SparkSession, folder: str) -> DataFrame:
     """The whole cleaner over sheets made of the orders."""
-    cleaned = clean(_sheet_grid(spark, folder), SPECS["tab_a1"], width=16)
+    grid = materialise(_sheet_grid(spark, folder), "sheets")
+    cleaned = clean(grid, SPECS["tab_a1"], width=16)
     return _as_double(cleaned, "households_in_area_000s")
 
 

@@ -17,6 +17,7 @@ def build_session(app: str = "peerline", master: str | None = None, **conf: str)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master).config("spark.ui.enabled", "false")
@@ -52,8 +53,9 @@ def new_folder(spark: SparkSession, name: str) -> str:
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once and read it back.
 
-    Used where several branches need the same expensive relation. The written
-    table survives lost executors and is read column by column.
+    Used where several branches need the same relation, or where a join must
+    know its true size. The written table survives lost executors and is read
+    column by column.
     """
     spark = df.sparkSession
     path = new_folder(spark, name)
