@@ -59,7 +59,8 @@ def _layout(grid: DataFrame, spec: TableSpec, width: int, above: int, least: int
         return F.raise_error(message).cast("array<int>")
 
     positions = (
-        F.when(F.size("names") > width, refuse(f"more than {width} columns", F.array()))
+        F.when(F.col("names").isNull(), refuse("no header row", F.array()))
+        .when(F.size("names") > width, refuse(f"more than {width} columns", F.array()))
         .when(F.size(absent) > 0, refuse("no header", absent))
         .when(F.size(sparse) > 0, refuse(f"fewer than {least} cells under", sparse))
         .otherwise(F.transform("wanted", position))
@@ -69,6 +70,14 @@ def _layout(grid: DataFrame, spec: TableSpec, width: int, above: int, least: int
     return placed.select("file", "header_row", "positions", others.alias("others"))
 
 
+def _require_anchors(anchors: DataFrame, layout: DataFrame, spec: TableSpec) -> None:
+    """Stop when a file lacks its anchor row: nothing of it could be trusted."""
+    without = layout.select("file").join(anchors.select("file").distinct(), "file", "left_anti")
+    named = [r["file"] for r in without.take(5)]  # examples for the message
+    if named:
+        raise ValueError(f"{spec.name}: no row named {spec.anchor} in {', '.join(named)}")
+
+
 def _typed(measure: Measure) -> Column:
     text = scrub_placeholder(F.col(measure.column))
     if measure.in_thousands:
@@ -111,7 +120,9 @@ def clean(
     rows = dedup_rows(body, ["file", *names, "other_cells"], "row_no").drop("other_cells")
     rows = materialise(rows, f"{spec.name}-rows")
 
-    rows = start_at_anchor(rows, ["file"], "row_no", F.col(spec.entity_column) == spec.anchor)
+    is_anchor = F.col(spec.entity_column) == spec.anchor
+    _require_anchors(rows.filter(is_anchor), layout, spec)
+    rows = start_at_anchor(rows, ["file"], "row_no", is_anchor)
     rows = drop_sparse_rows(not_null(rows, spec.id_column), least_per_row, names)
     return rows.select(
         *spec.key_columns,
