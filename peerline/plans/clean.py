@@ -26,7 +26,7 @@ def _profile(grid: DataFrame, width: int) -> DataFrame:
 
 
 def _layout(grid: DataFrame, spec: TableSpec, width: int, above: int, least: int) -> DataFrame:
-    """Per file: the header's row, where each wanted column sits, which other columns count.
+    """Per file: quarter, the header's row, where each wanted column sits, which other columns count.
 
     A header that is absent, or whose column is nearly empty, is an error that
     names file and header.
@@ -67,7 +67,8 @@ def _layout(grid: DataFrame, spec: TableSpec, width: int, above: int, least: int
     )
     placed = heads.withColumn("positions", positions)
     others = F.transform("kept", lambda k, i: k & ~F.array_contains("positions", i))
-    return placed.select("file", "header_row", "positions", others.alias("others"))
+    quarter = quarter_from_name(file_name(F.col("file")))
+    return placed.select("file", quarter.alias(QUARTER), "header_row", "positions", others.alias("others"))
 
 
 def _require_anchors(anchors: DataFrame, layout: DataFrame, spec: TableSpec) -> None:
@@ -113,11 +114,12 @@ def clean(
     names = [*spec.key_columns, *spec.measure_columns]
     body = body.selectExpr(
         "file",
+        QUARTER,
         "row_no",
         *(f"get(cells, get(positions, {k})) as {c}" for k, c in enumerate(names)),
         "filter(cells, (c, i) -> get(others, i)) as other_cells",
     )
-    rows = dedup_rows(body, ["file", *names, "other_cells"], "row_no").drop("other_cells")
+    rows = dedup_rows(body, ["file", QUARTER, *names, "other_cells"], "row_no").drop("other_cells")
     rows = materialise(rows, f"{spec.name}-rows")
 
     is_anchor = F.col(spec.entity_column) == spec.anchor
@@ -127,6 +129,6 @@ def clean(
     return rows.select(
         *spec.key_columns,
         *(_typed(m).alias(m.column) for m in spec.measures),
-        quarter_from_name(file_name(F.col("file"))).alias(QUARTER),
+        QUARTER,
         peer_flag(F.col(spec.entity_column), spec.peers).alias(PEER_FLAG),
     )

@@ -6,7 +6,7 @@ text of every cell, NULL where the cell is empty.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,54 +59,72 @@ def _blank_to_null(cells: Column) -> Column:
     return F.transform(cells, lambda c: F.when(~c.isin(*EMPTY_CELLS), c))
 
 
-def read_grid(spark: SparkSession, path: str | Sequence[str], width: int = DEFAULT_WIDTH) -> DataFrame:
-    """Exported sheets (CSV, one sheet row per line) of any number and size in one scan.
+def text_lines(source: DataFrame) -> DataFrame:
+    """(file, block_start, value) of a text source, batch or stream."""
+    return source.select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block_start"), "value"
+    )
 
-    Lines are read split by split, so a huge file is spread over many tasks. A
-    line with more than `width` cells is an error rather than cut short.
-    """
+
+def parse_lines(lines: DataFrame, width: int = DEFAULT_WIDTH) -> DataFrame:
+    """Grid rows of CSV lines; a line with more than `width` cells is an error rather than cut short."""
     columns = [f"c{i}" for i in range(width)]
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        _row_order(F.col("_metadata.file_block_start")).alias("row_no"),
-        F.col("value"),
-    )
     # Separators inside quotes are counted too: the guard may ask for more width
     # than is needed, but can never let a cell get lost.
     separators = F.length("value") - F.length(F.replace("value", F.lit(","), F.lit("")))
     too_wide = F.raise_error(F.concat(F.lit(f"more than {width} cells in a line of "), F.col("file")))
     line = F.when(separators < width, F.col("value")).otherwise(too_wide.cast("string"))
-    parsed = lines.withColumn(
-        "fields", F.from_csv(line, ", ".join(f"{c} string" for c in columns), {"escape": '"'})
-    )
-    return parsed.select(
-        "file", "row_no", _blank_to_null(F.array(*(F.col(f"fields.{c}") for c in columns))).alias("cells")
+    schema = ", ".join(f"{c} string" for c in columns)
+    parsed = lines.select(
+        "file", _row_order(F.col("block_start")).alias("row_no"), F.from_csv(line, schema, {"escape": '"'}).alias("f")
     )
+    cells = F.expr(f"array({', '.join(f'f.{c}' for c in columns)})")
+    return parsed.select("file", "row_no", _blank_to_null(cells).alias("cells"))
 
 
-def read_workbooks(spark: SparkSession, path: str, sheet: str, extensions: Sequence[str] = ("xls", "ods")) -> DataFrame:
-    """One sheet of every workbook in a folder, one workbook per task.
+def read_grid(spark: SparkSession, path: str | Sequence[str], width: int = DEFAULT_WIDTH) -> DataFrame:
+    """Exported sheets (CSV, one sheet row per line) of any number and size in one scan.
 
-    Decoding needs the optional library pandas uses for the format; a sheet
-    cannot exceed the format's own row limit, so the unit of work is bounded.
+    Lines are read split by split, so a huge file is spread over many tasks.
     """
+    return parse_lines(text_lines(spark.read.text(path)), width)
 
-    def decode(batches):
-        import io
 
+def sheet_texts(content: bytes, sheet: str) -> list[list[str | None]]:
+    """Cells of one workbook sheet, decoded by the library pandas uses for the format."""
+    import io
+
+    import pandas as pd
+
+    cells = pd.read_excel(io.BytesIO(content), sheet_name=sheet, header=None, dtype=str)
+    return cells.astype(object).where(cells.notna(), None).values.tolist()
+
+
+def read_workbooks(
+    spark: SparkSession,
+    path: str,
+    sheet: str,
+    extensions: Sequence[str] = ("xls", "ods"),
+    decode: Callable[[bytes, str], list[list[str | None]]] = sheet_texts,
+) -> DataFrame:
+    """One sheet of every workbook in a folder, one workbook per task.
+
+    A sheet cannot exceed its format's own row limit, so the unit of work is bounded.
+    """
+
+    def rows(batches):
         import pandas as pd
 
         for batch in batches:
             for name, content in zip(batch["path"], batch["content"]):
-                cells = pd.read_excel(io.BytesIO(content), sheet_name=sheet, header=None, dtype=str)
+                cells = decode(content, sheet)
                 if len(cells) > SHEET_ROW_LIMIT:
                     raise ValueError(f"sheet too long in {name}")
-                rows = cells.astype(object).where(cells.notna(), None).values.tolist()
-                yield pd.DataFrame({"file": name, "row_no": range(len(rows)), "cells": rows})
+                yield pd.DataFrame({"file": name, "row_no": range(len(cells)), "cells": cells})
 
     pattern = "*.{" + ",".join(f"{e}*" for e in extensions) + "}"
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
-    return files.select("path", "content").mapInPandas(decode, GRID_SCHEMA)
+    return files.select("path", "content").mapInPandas(rows, GRID_SCHEMA)
 
 
 def file_name(file: Column) -> Column:
