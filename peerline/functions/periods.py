@@ -29,10 +29,8 @@ def quarter_month(quarter: Column) -> Column:
 
 def quarter_label(month: Column) -> Column:
     """q1 to q4 for a month that ends a quarter, q0 for any other."""
-    label = F
-    for end, text in QUARTER_LABELS.items():
-        label = label.when(month == end, text)
-    return label.otherwise(OTHER_LABEL)
+    labels = [F.when(month == end, text) for end, text in QUARTER_LABELS.items()]
+    return F.coalesce(*labels, F.lit(OTHER_LABEL))
 
 
 def quarter_of_date(date: Column) -> Column:

@@ -29,55 +29,54 @@ def nation_spec(name: str) -> TableSpec:
     )
 
 
-def _nations(spark: SparkSession, folder: str) -> DataFrame:
-    return read_table(spark, folder, "nation").select("n_nationkey", "n_name")
+def with_nation(rows: DataFrame, folder: str, key: str) -> DataFrame:
+    """Replace a nation key column by `n_nationkey` and `n_name`."""
+    nations = read_table(rows.sparkSession, folder, "nation").select("n_nationkey", "n_name")
+    return rows.join(nations, F.col(key) == F.col("n_nationkey")).drop(key)
 
 
 def customer_nations(spark: SparkSession, folder: str) -> DataFrame:
-    customers = read_table(spark, folder, "customer")
-    named = customers.join(_nations(spark, folder), F.col("c_nationkey") == F.col("n_nationkey"))
-    return named.select("c_custkey", "n_nationkey", "n_name")
-
-
-def supplier_nations(spark: SparkSession, folder: str) -> DataFrame:
-    suppliers = read_table(spark, folder, "supplier")
-    named = suppliers.join(_nations(spark, folder), F.col("s_nationkey") == F.col("n_nationkey"))
-    return named.select("s_suppkey", "n_nationkey", "n_name")
+    customers = read_table(spark, folder, "customer").select("c_custkey", "c_nationkey")
+    return with_nation(customers, folder, "c_nationkey")
 
 
 def orders_by_nation(spark: SparkSession, folder: str, part: Column) -> DataFrame:
-    """(n_nationkey, n_name, quarter_ending, part) of every order."""
+    """(nation, quarter_ending, part) of every order, the nation as its key."""
     orders = read_table(spark, folder, "orders").select(
         "o_custkey", quarter_of_date(F.col("o_orderdate")).alias(QUARTER), part.alias("part")
     )
-    joined = orders.join(customer_nations(spark, folder), F.col("o_custkey") == F.col("c_custkey"))
-    return joined.select("n_nationkey", "n_name", QUARTER, "part")
+    customers = read_table(spark, folder, "customer").select("c_custkey", F.col("c_nationkey").alias("nation"))
+    return orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select("nation", QUARTER, "part")
 
 
 def lines_by_nation(spark: SparkSession, folder: str, part: Column, status: str | None = None) -> DataFrame:
-    """(n_nationkey, n_name, quarter_ending, part) of every order line, or of one line status."""
+    """(nation, quarter_ending, part) of every order line, or of one line status."""
     lines = read_table(spark, folder, "lineitem")
     if status:
         lines = lines.filter(F.col("l_linestatus") == status)
     lines = lines.select("l_suppkey", quarter_of_date(F.col("l_shipdate")).alias(QUARTER), part.alias("part"))
-    joined = lines.join(supplier_nations(spark, folder), F.col("l_suppkey") == F.col("s_suppkey"))
-    return joined.select("n_nationkey", "n_name", QUARTER, "part")
+    suppliers = read_table(spark, folder, "supplier").select("s_suppkey", F.col("s_nationkey").alias("nation"))
+    return lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey")).select("nation", QUARTER, "part")
 
 
-def counted(rows: DataFrame, spec: TableSpec) -> DataFrame:
-    """Wide counts: the first measure counts all rows, the others one part each.
+def count_parts(rows: DataFrame) -> DataFrame:
+    """Rows per nation, quarter and part.
 
-    Rows are counted per part first: one hash lookup per row whatever the
-    number of measures, and a relation of nations x quarters x parts afterwards.
+    The only step that sees every row: one join to a stored table whose size
+    Catalyst knows, one lookup by three small values. A hot nation or quarter
+    collapses in each task. What follows works on nations x quarters x parts.
     """
-    keys = ["n_nationkey", "n_name", QUARTER]
-    by_part = rows.groupBy(*keys, "part").agg(F.count(F.lit(1)).alias("n"))
+    return rows.groupBy("nation", QUARTER, "part").agg(F.count(F.lit(1)).alias("n"))
+
+
+def counted(rows: DataFrame, spec: TableSpec, folder: str) -> DataFrame:
+    """Wide counts: the first measure counts all rows, the others one part each."""
     total, *parts = spec.measure_columns
-    wide = by_part.groupBy(*keys).agg(
+    wide = count_parts(rows).groupBy("nation", QUARTER).agg(
         F.sum("n").alias(total),
         *(F.expr(f"sum(n) filter (where part = {k}) as {c}") for k, c in enumerate(parts)),
     )
-    return _as_staging(wide, spec)
+    return _as_staging(with_nation(wide, folder, "nation"), spec)
 
 
 def _as_staging(wide: DataFrame, spec: TableSpec) -> DataFrame:
@@ -98,53 +97,50 @@ def quantity_band(parts: int) -> Column:
 def assessment_facts(spark: SparkSession, folder: str) -> DataFrame:
     """tab_a1: orders by status over the nation's customers, in thousands."""
     spec = nation_spec("tab_a1")
-    keys = ["n_nationkey", "n_name", QUARTER]
-    rows = orders_by_nation(spark, folder, F.col("o_orderstatus"))
-    by_status = rows.groupBy(*keys, "part").agg(F.count(F.lit(1)).alias("n"))
+    by_status = count_parts(orders_by_nation(spark, folder, F.col("o_orderstatus")))
 
     def of(*statuses: str) -> Column:
         return F.sum(F.when(F.col("part").isin(*statuses), F.col("n")))
 
-    wide = by_status.groupBy(*keys).agg(
+    wide = by_status.groupBy("nation", QUARTER).agg(
         F.sum("n").alias("initial_assessments"),
         of("F", "O").alias("owed_prevention_or_relief_duty"),
         of("F").alias("prevention_duty_owed"),
         of("O").alias("relief_duty_owed"),
     )
-    residents = customer_nations(spark, folder).groupBy("n_nationkey").agg(
-        (F.count(F.lit(1)) * F.lit("0.001").cast("decimal(4,3)")).alias("households_in_area_000s")
-    )
-    return _as_staging(wide.join(residents, "n_nationkey"), spec)
+    customers = read_table(spark, folder, "customer").groupBy(F.col("c_nationkey").alias("nation"))
+    residents = customers.agg((F.count(F.lit(1)) * F.lit("0.001").cast("decimal(4,3)")).alias("households_in_area_000s"))
+    return _as_staging(with_nation(wide.join(residents, "nation"), folder, "nation"), spec)
 
 
 def prevention_facts(spark: SparkSession, folder: str) -> DataFrame:
     spec = nation_spec("tab_a2p")
-    return counted(lines_by_nation(spark, folder, quantity_band(13), "F"), spec)
+    return counted(lines_by_nation(spark, folder, quantity_band(13), "F"), spec, folder)
 
 
 def relief_facts(spark: SparkSession, folder: str) -> DataFrame:
     spec = nation_spec("tab_a2r")
-    return counted(lines_by_nation(spark, folder, quantity_band(13), "O"), spec)
+    return counted(lines_by_nation(spark, folder, quantity_band(13), "O"), spec, folder)
 
 
 def ended_prevention_facts(spark: SparkSession, folder: str) -> DataFrame:
     spec = nation_spec("tab_p1")
     tax_step = F.round(F.col("l_tax") * 100).cast("int")
-    return counted(lines_by_nation(spark, folder, tax_step, "F"), spec)
+    return counted(lines_by_nation(spark, folder, tax_step, "F"), spec, folder)
 
 
 def ended_relief_facts(spark: SparkSession, folder: str) -> DataFrame:
     spec = nation_spec("tab_r1")
     discount_step = F.least(F.round(F.col("l_discount") * 100), F.lit(9.0)).cast("int")
-    return counted(lines_by_nation(spark, folder, discount_step, "O"), spec)
+    return counted(lines_by_nation(spark, folder, discount_step, "O"), spec, folder)
 
 
 def accommodation_facts(spark: SparkSession, folder: str) -> DataFrame:
     spec = nation_spec("tab_ta1")
-    return counted(lines_by_nation(spark, folder, quantity_band(20)), spec)
+    return counted(lines_by_nation(spark, folder, quantity_band(20)), spec, folder)
 
 
 def composition_facts(spark: SparkSession, folder: str) -> DataFrame:
     spec = nation_spec("tab_ta2")
     step = F.least(F.floor(F.col("o_totalprice") / ORDER_VALUE_STEP), F.lit(7)).cast("int")
-    return counted(orders_by_nation(spark, folder, step), spec)
+    return counted(orders_by_nation(spark, folder, step), spec, folder)

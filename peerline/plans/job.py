@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerline.functions.text import FINGERPRINT, add_fingerprint
+from peerline.functions.text import add_fingerprint
 from peerline.operators.delta import fresh_rows, redundant_rows
 from peerline.operators.profile import rows_per_quarter
 from peerline.plans.clean import clean
@@ -33,7 +33,7 @@ class LoadReport:
     table: str
     cleaned: int
     fresh: int
-    redundant: int
+    redundant: int | None
     per_quarter: dict[int | None, int]
 
 
@@ -81,9 +81,14 @@ def run_table(
     target: str,
     model_file: str | None = None,
     replace: bool = False,
+    count_redundant: bool = True,
     read: Callable[[SparkSession, str], DataFrame] = read_grid,
 ) -> LoadReport:
-    """Read `<source>/<sheet>`, load what is new, refresh and publish to `target`."""
+    """Read `<source>/<sheet>`, load what is new, refresh and publish to `target`.
+
+    `count_redundant` compares all of staging with the sources; leave it out
+    where the sources no longer hold every quarter.
+    """
     folder = f"{source}/{spec.sheet}"
     if model_file:
         require_source(list_sources(spark, folder), model_file)
@@ -91,7 +96,7 @@ def run_table(
     cleaned = materialise(add_fingerprint(clean(grid, spec), spec.staging_columns), f"{spec.name}-cleaned")
 
     fresh = load_fresh(cleaned, spec, replace)
-    redundant = find_redundant(cleaned, spec).count()
+    redundant = find_redundant(cleaned, spec).count() if count_redundant else None
 
     exported = cleaned if spec.export_all_rows else fresh
     # The keys behind the quarter let the sort spread one large quarter over many tasks.
@@ -124,5 +129,3 @@ def duplicate_keys(cleaned: DataFrame, spec: TableSpec) -> DataFrame:
     keys = [spec.entity_column, QUARTER]
     return cleaned.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count")).filter(F.col("row_count") > 1)
 
-
-__all__ = ["FINGERPRINT", "LoadReport", "duplicate_keys", "find_redundant", "load_fresh", "run_all", "run_table"]

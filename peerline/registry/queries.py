@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peerline.functions.numbers import (
@@ -385,7 +385,7 @@ def _sheet_grid(spark: SparkSession, folder: str) -> DataFrame:
         F.count_if(F.col("o_orderstatus") == "O").alias("o"),
     )
 
-    def text(count: F.Column) -> F.Column:
+    def text(count: Column) -> Column:
         return F.when(count > 0, count.cast("string")).otherwise(F.lit(".."))
 
     key = F.col("o_custkey")
@@ -452,7 +452,7 @@ def grid_scan(spark: SparkSession, folder: str) -> DataFrame:
 def source_listing(spark: SparkSession, folder: str) -> DataFrame:
     """Quarters for which a folder of exports holds a CSV file."""
     path = new_folder(spark, "listing")
-    _order_rows(spark, folder).write.partitionBy(QUARTER).option("header", True).csv(path)
+    _order_rows(spark, folder).hint("rebalance", QUARTER).write.partitionBy(QUARTER).option("header", True).csv(path)
     files = list_sources(spark, f"{path}/{QUARTER}=*", ["csv"])
     quarter = F.regexp_extract("path", rf"{QUARTER}=(\d+)", 1).cast("int")
     return files.filter(file_name(F.col("path")) == F.col("name")).select(quarter.alias(QUARTER)).distinct()

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 GRID_SCHEMA = "file string, row_no bigint, cells array<string>"
 DEFAULT_WIDTH = 128
+CSV_FILES = "*.csv*"
 SHEET_ROW_LIMIT = 1_048_576  # rows a workbook sheet can hold
 
 # Cell texts that stand for an empty cell in a sheet reader.
@@ -87,7 +88,7 @@ def read_grid(spark: SparkSession, path: str | Sequence[str], width: int = DEFAU
 
     Lines are read split by split, so a huge file is spread over many tasks.
     """
-    return parse_lines(text_lines(spark.read.text(path)), width)
+    return parse_lines(text_lines(spark.read.option("pathGlobFilter", CSV_FILES).text(path)), width)
 
 
 def sheet_texts(content: bytes, sheet: str) -> list[list[str | None]]:

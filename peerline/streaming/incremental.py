@@ -9,7 +9,7 @@ from peerline.plans.clean import clean
 from peerline.plans.job import load_fresh
 from peerline.plans.publish import create_public_view, refresh_summary
 from peerline.session import materialise
-from peerline.sources.grid import DEFAULT_WIDTH, parse_lines, text_lines
+from peerline.sources.grid import CSV_FILES, DEFAULT_WIDTH, parse_lines, text_lines
 from peerline.specs import TableSpec
 
 
@@ -33,9 +33,9 @@ def load_arrivals(
         cleaned = add_fingerprint(clean(grid, spec, width), spec.staging_columns)
         load_fresh(materialise(cleaned, f"{spec.name}-cleaned"), spec)
 
-    stream = spark.readStream.option("maxFilesPerTrigger", files_at_once).text(f"{source}/{spec.sheet}")
+    files = spark.readStream.option("pathGlobFilter", CSV_FILES).option("maxFilesPerTrigger", files_at_once)
     query = (
-        text_lines(stream)
+        text_lines(files.text(f"{source}/{spec.sheet}"))
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", f"{progress}/{spec.name}")
         .trigger(availableNow=True)

@@ -1,4 +1,6 @@
+import random
 from decimal import Decimal
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -60,3 +62,23 @@ def test_strict_division_by_zero(spark):
     df = spark.createDataFrame([(1, 0)], "a bigint, b bigint")
     with pytest.raises(Exception, match="division by zero"):
         df.select(round_divide(F.col("a"), F.col("b"), strict=True)).collect()
+
+
+def test_rounded_division_against_exact_fractions(spark):
+    rnd = random.Random(11)
+    pairs = []
+    for _ in range(4000):
+        b = rnd.choice([1, -1]) * rnd.randint(1, 10 ** rnd.randint(1, 15))
+        a = rnd.randint(-(10 ** rnd.randint(1, 16)), 10 ** rnd.randint(1, 16))
+        if rnd.random() < 0.5:  # on and next to a tie at two digits
+            b = 200 * rnd.randint(1, 10**13)
+            a = b // 200 * rnd.randint(-500, 500) + rnd.choice([-1, 0, 0, 1])
+        pairs.append((a, b))
+    df = spark.createDataFrame(pairs, "a bigint, b bigint")
+    got = df.select("a", "b", *(round_divide(F.col("a"), F.col("b"), d).alias(f"d{d}") for d in (0, 2))).collect()
+    for r in got:
+        for digits in (0, 2):
+            exact = Fraction(abs(r.a), abs(r.b)) * 10**digits
+            size = (2 * exact.numerator + exact.denominator) // (2 * exact.denominator)
+            sign = -1 if (r.a < 0) != (r.b < 0) else 1
+            assert Fraction(r[f"d{digits}"]) == Fraction(sign * size, 10**digits), r
