@@ -42,17 +42,22 @@ def to_whole(text: Column, column_name: str) -> Column:
 
 
 def round_divide(numerator: Column, denominator: Column, digits: int = 0, strict: bool = False) -> Column:
-    """numerator / denominator of two whole numbers, rounded with halves away from zero.
+    """numerator / denominator of two BIGINTs, rounded with halves away from zero.
 
-    The quotient of such decimals carries 19 decimal places. For a denominator
-    below 10^16 that is enough to tell any quotient from a tie, so the second
-    rounding is exact for up to two digits. A zero denominator gives NULL, or
-    an error when `strict`.
+    The result is a BIGINT in units of 10^-digits, so 57 / 200 to two digits is
+    29. Whole-number arithmetic keeps it exact and cheap. Where that would
+    overflow, a decimal quotient of 19 places takes over: with a denominator
+    below 10^16 it tells any quotient from a tie, for up to two digits. A zero
+    denominator gives NULL, or an error when `strict`.
     """
-    top = numerator.cast("decimal(19,0)")
-    bottom = denominator.cast("decimal(18,0)")
-    quotient = F.round(F.try_divide(top, bottom), digits)
+    scale = 10**digits
+    half = F.when((numerator < 0) == (denominator < 0), denominator).otherwise(-denominator)
+    doubled = F.try_add(F.try_multiply(numerator, F.lit(2 * scale).cast("bigint")), half)
+    divisor = F.nullif(F.try_multiply(denominator, F.lit(2).cast("bigint")), F.lit(0).cast("bigint"))
+    quotient = F.try_divide(numerator.cast("decimal(19,0)"), denominator.cast("decimal(18,0)"))
+    large = (F.round(quotient, digits) * scale).cast("bigint")
+    result = F.coalesce(F.call_function("div", doubled, divisor), large)
     if strict:
-        zero = F.raise_error(F.lit("division by zero")).cast("decimal(38,2)")
-        return F.when(bottom == 0, zero).otherwise(quotient)
-    return quotient
+        zero = F.raise_error(F.lit("division by zero")).cast("bigint")
+        return F.when(denominator == 0, zero).otherwise(result)
+    return result

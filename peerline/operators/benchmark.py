@@ -1,8 +1,8 @@
 """The steps of the peer comparison, each usable on its own.
 
 Values travel as whole numbers of units (BIGINT): a count is itself, a measure
-in thousands is multiplied by 1000. Sums stay in fast integers and every
-rounding is exact; decimals appear once rows are few.
+in thousands is multiplied by 1000. A ratio is a whole number of hundredths.
+Every rounding is exact integer arithmetic; decimals appear once rows are few.
 """
 
 from __future__ import annotations
@@ -25,12 +25,16 @@ def in_units(measure: Measure, column: Column | None = None) -> Column:
     return (column * 1000 if measure.in_thousands else column).cast("bigint")
 
 
-def ratio(value: Column, base: Column, strict: bool = False) -> Column:
-    """value / base with two decimals, halves away from zero."""
-    return as_result(round_divide(value, base, 2, strict))
+def hundredths(value: Column, base: Column, strict: bool = False) -> Column:
+    """value / base rounded to two decimals, as a whole number of hundredths."""
+    return round_divide(value, base, 2, strict)
 
 
-def as_result(column: Column) -> Column:
+def from_hundredths(column: Column) -> Column:
+    return (column.cast("decimal(20,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(18,2)")
+
+
+def from_units(column: Column) -> Column:
     return column.cast("decimal(18,2)")
 
 
@@ -50,7 +54,7 @@ def focal_rows(wide: DataFrame, spec: TableSpec) -> DataFrame:
 
 def rounded_mean(total: Column, count: Column) -> Column:
     """Mean rounded to a whole unit; NULL without any value."""
-    return round_divide(total, count).cast("bigint")
+    return round_divide(total, count)
 
 
 def peer_means(units: DataFrame, spec: TableSpec) -> DataFrame:
@@ -80,9 +84,10 @@ def add_ratios(rows: DataFrame, spec: TableSpec, strict: bool = False) -> DataFr
     """Every metric of the summary with two decimals: values under their label, ratios beside them."""
     metrics = []
     for m in spec.measures:
-        metrics.append(as_result(F.col(m.column)).alias(m.label))
+        metrics.append(from_units(F.col(m.column)).alias(m.label))
         if m.base:
-            metrics.append(ratio(F.col(m.column), F.col(m.base), strict).alias(m.ratio_label))
+            share = hundredths(F.col(m.column), F.col(m.base), strict)
+            metrics.append(from_hundredths(share).alias(m.ratio_label))
     return rows.select(*spec.key_columns, QUARTER, *metrics)
 
 
@@ -110,4 +115,4 @@ def pivot_entities(long: DataFrame, spec: TableSpec) -> DataFrame:
 def add_difference(pivoted: DataFrame, spec: TableSpec) -> DataFrame:
     """Focal minus peer group; NULL if either is missing."""
     gap = F.col(spec.focal_column) - F.col(spec.peer_column)
-    return pivoted.withColumn("difference", as_result(gap))
+    return pivoted.withColumn("difference", gap.cast("decimal(18,2)"))

@@ -10,11 +10,12 @@ from peerline.operators.benchmark import (
     add_difference,
     add_period,
     add_ratios,
-    as_result,
     focal_with_peers,
+    from_hundredths,
+    from_units,
+    hundredths,
     in_units,
     pivot_entities,
-    ratio,
     rounded_mean,
     to_units,
     unpivot_metrics,
@@ -52,7 +53,7 @@ def peer_summary(wide: DataFrame, spec: TableSpec, strict: bool = False) -> Data
         F.max(F.when(F.col("_focal"), value)).alias("focal"),
         # Taken row by row: with several focal rows the largest ratio need not
         # belong to the largest value.
-        F.max(F.when(F.col("_focal"), ratio(value, base, strict))).alias("focal_ratio"),
+        F.max(F.when(F.col("_focal"), hundredths(value, base, strict))).alias("focal_ratio"),
     )
     # Quarters times measures from here on. Ratios of the group use the means
     # already rounded.
@@ -66,8 +67,9 @@ def peer_summary(wide: DataFrame, spec: TableSpec, strict: bool = False) -> Data
         rounded_mean(F.col("base_total"), F.col("base_n")).alias("base_mean"),
     )
     names = (METRIC, spec.focal_column, spec.peer_column)
-    own = (F.col("label"), as_result(F.col("focal")), as_result(F.col("mean")))
-    share = (F.col("ratio_label"), F.col("focal_ratio"), ratio(F.col("mean"), F.col("base_mean"), strict))
+    group_ratio = hundredths(F.col("mean"), F.col("base_mean"), strict)
+    own = (F.col("label"), from_units(F.col("focal")), from_units(F.col("mean")))
+    share = (F.col("ratio_label"), from_hundredths(F.col("focal_ratio")), from_hundredths(group_ratio))
     both = F.array(*(F.struct(*(c.alias(n) for c, n in zip(entry, names))) for entry in (own, share)))
     long = means.select(QUARTER, F.inline(both)).filter(F.col(METRIC).isNotNull())
     return add_difference(add_period(long), spec).select(*summary_columns(spec))

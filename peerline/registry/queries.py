@@ -258,9 +258,9 @@ def half_away_rounding(spark: SparkSession, folder: str) -> DataFrame:
     quantity = (F.col("l_quantity") * sign).cast("bigint")
     return lines.select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_linestatus", "l_quantity",
-        round_divide(quantity, F.lit(2)).cast("bigint").alias("half"),
-        round_divide(quantity, F.lit(8), 2).cast("double").alias("eighth"),
-        round_divide(quantity, F.col("l_linenumber") - 1, 2).cast("double").alias("by_line"),
+        round_divide(quantity, F.lit(2).cast("bigint")).alias("half"),
+        (round_divide(quantity, F.lit(8).cast("bigint"), 2) / 100.0).alias("eighth"),
+        (round_divide(quantity, (F.col("l_linenumber") - 1).cast("bigint"), 2) / 100.0).alias("by_line"),
     )
 
 
