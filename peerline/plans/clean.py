@@ -26,9 +26,10 @@ def _profile(grid: DataFrame, width: int) -> DataFrame:
 
 
 def _layout(grid: DataFrame, spec: TableSpec, width: int, above: int, least: int) -> DataFrame:
-    """Per file: quarter, the header's row, where each wanted column sits, which other columns count.
+    """Per file: quarter, the header's row, and where each wanted column sits.
 
-    A header that is absent, or whose column is nearly empty, is an error that
+    `kept` tells which columns count where some do not, `last` how far the sheet
+    is filled. A header that is absent, or whose column is nearly empty, is an error that
     names file and header.
     """
     profile = materialise(_profile(grid, width), f"{spec.name}-profile")
@@ -42,17 +43,17 @@ def _layout(grid: DataFrame, spec: TableSpec, width: int, above: int, least: int
         F.array_agg("cells").alias("top_cells"),
         F.max("filled").alias("filled"),
     )
-    kept = F.transform(
-        "filled",
-        lambda n, i: n - F.size(F.filter("top_cells", lambda row: F.get(row, i).isNotNull())) >= least,
+    # Rows above the data are not counted.
+    counts = F.transform(
+        "filled", lambda n, i: n - F.size(F.filter("top_cells", lambda row: F.get(row, i).isNotNull()))
     )
-    heads = heads.withColumns({"kept": kept, "wanted": text_array(spec.headers)})
+    heads = heads.withColumns({"counts": counts, "wanted": text_array(spec.headers)})
 
     def position(header: Column) -> Column:
         return F.array_position("names", header).cast("int") - 1
 
     absent = F.filter("wanted", lambda h: position(h) < 0)
-    sparse = F.filter("wanted", lambda h: ~F.get("kept", position(h)))
+    sparse = F.filter("wanted", lambda h: F.get("counts", position(h)) < least)
 
     def refuse(reason: str, headers: Column) -> Column:
         message = F.concat(F.lit(f"{spec.name}: {reason} "), F.array_join(headers, " | "), F.lit(" in "), F.col("file"))
@@ -65,10 +66,18 @@ def _layout(grid: DataFrame, spec: TableSpec, width: int, above: int, least: int
         .when(F.size(sparse) > 0, refuse(f"fewer than {least} cells under", sparse))
         .otherwise(F.transform("wanted", position))
     )
-    placed = heads.withColumn("positions", positions)
-    others = F.transform("kept", lambda k, i: k & ~F.array_contains("positions", i))
-    quarter = quarter_from_name(file_name(F.col("file")))
-    return placed.select("file", quarter.alias(QUARTER), "header_row", "positions", others.alias("others"))
+    # Cells of a nearly empty column do not count; few sheets have such a column.
+    stray = F.exists("counts", lambda n: (n > 0) & (n < least))
+    kept = F.when(stray, F.transform("counts", lambda n: n >= least))
+    last = F.array_max(F.transform("counts", lambda n, i: F.when(n > 0, i + 1).otherwise(0)))
+    return heads.select(
+        "file",
+        quarter_from_name(file_name(F.col("file"))).alias(QUARTER),
+        "header_row",
+        positions.alias("positions"),
+        kept.alias("kept"),
+        last.alias("last"),
+    )
 
 
 def _require_anchors(anchors: DataFrame, layout: DataFrame, spec: TableSpec) -> None:
@@ -108,18 +117,22 @@ def clean(
     layout = materialise(_layout(grid, spec, width, above, least_per_column), f"{spec.name}-layout")
     body = grid.join(layout, "file").filter(F.col("row_no") > F.col("header_row"))
 
-    # Wanted cells as columns, then all other cells that count: together they
-    # are the whole row, so grouping by them is grouping by the row. Wholly
-    # empty rows need no filter of their own, they go with the missing ids.
-    names = [*spec.key_columns, *spec.measure_columns]
+    # The whole row is the key, cut to the filled columns. The positions ride
+    # along, the same in all rows of a file. Wholly empty rows need no filter of
+    # their own, they go with the missing ids.
     body = body.selectExpr(
         "file",
         QUARTER,
         "row_no",
-        *(f"get(cells, get(positions, {k})) as {c}" for k, c in enumerate(names)),
-        "filter(cells, (c, i) -> get(others, i)) as other_cells",
+        "positions",
+        "case when kept is null then slice(cells, 1, last)"
+        " else transform(slice(cells, 1, last), (c, i) -> if(get(kept, i), c, null)) end as cells",
+    )
+    rows = dedup_rows(body, ["file", QUARTER, "positions", "cells"], "row_no")
+    names = [*spec.key_columns, *spec.measure_columns]
+    rows = rows.selectExpr(
+        "file", QUARTER, "row_no", *(f"get(cells, get(positions, {k})) as {c}" for k, c in enumerate(names))
     )
-    rows = dedup_rows(body, ["file", QUARTER, *names, "other_cells"], "row_no").drop("other_cells")
     rows = materialise(rows, f"{spec.name}-rows")
 
     is_anchor = F.col(spec.entity_column) == spec.anchor

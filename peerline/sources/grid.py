@@ -74,7 +74,10 @@ def parse_lines(lines: DataFrame, width: int = DEFAULT_WIDTH) -> DataFrame:
     # than is needed, but can never let a cell get lost.
     separators = F.length("value") - F.length(F.replace("value", F.lit(","), F.lit("")))
     too_wide = F.raise_error(F.concat(F.lit(f"more than {width} cells in a line of "), F.col("file")))
-    line = F.when(separators < width, F.col("value")).otherwise(too_wide.cast("string"))
+    # Filled up to the full width: the parser raises, and catches, an exception for
+    # every cell a line lacks.
+    full = F.concat("value", F.repeat(F.lit(","), width - 1 - separators))
+    line = F.when(separators < width, full).otherwise(too_wide.cast("string"))
     schema = ", ".join(f"{c} string" for c in columns)
     parsed = lines.select(
         "file", _row_order(F.col("block_start")).alias("row_no"), F.from_csv(line, schema, {"escape": '"'}).alias("f")
