@@ -9,6 +9,7 @@ from itertools import chain
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from peerline.functions.numbers import to_double, to_whole
 from peerline.session import materialise
 
 
@@ -90,6 +91,21 @@ def start_at_anchor(df: DataFrame, group: Sequence[str], order: str, is_anchor:
     return kept.select(*df.columns)
 
 
+def recast_columns(
+    df: DataFrame,
+    dates: Sequence[str] = (),
+    floats: Sequence[str] = (),
+    whole: Sequence[str] = (),
+    texts: Sequence[str] = (),
+) -> DataFrame:
+    """Cast columns by list; text that is no number becomes NULL, a date that is none is an error."""
+    casts = {c: F.col(c).cast("timestamp_ntz") for c in dates}
+    casts |= {c: to_double(F.col(c).cast("string")) for c in floats}
+    casts |= {c: to_whole(F.col(c).cast("string"), c) for c in whole}
+    casts |= {c: F.col(c).cast("string") for c in texts}
+    return df.withColumns(casts)
+
+
 def append_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     """Rows of all frames, columns matched by name; a column some lack is NULL there."""
     return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

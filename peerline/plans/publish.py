@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from peerline.plans.summary import peer_summary
-from peerline.sources.tables import CORE, PUBLIC, STAGING
+from peerline.sources.tables import CORE, PUBLIC, STAGING, require_quarter_overwrite
 from peerline.specs import QUARTER, TableSpec
 
 
@@ -18,18 +18,16 @@ def public_columns(spec: TableSpec) -> list[str]:
 
 
 def append_rows(rows: DataFrame, table: str, quarter: str = QUARTER, replace: bool = False) -> None:
-    """Add rows to a table partitioned by quarter.
+    """Add rows to a staging table partitioned by quarter.
 
     The rebalance hint lets adaptive execution cut a large quarter over several
-    writers and join small ones. `replace` swaps only the quarters present in `rows`.
+    writers and join small ones. `replace` swaps the quarters present in `rows`
+    and needs a table whose options keep it from touching others.
     """
-    spark = rows.sparkSession
-    columns = spark.table(table).columns
-    balanced = rows.select(*columns).hint("rebalance", quarter)
     if replace:
-        balanced.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
-    else:
-        balanced.write.insertInto(table)
+        require_quarter_overwrite(rows.sparkSession, table)
+    columns = rows.sparkSession.table(table).columns
+    rows.select(*columns).hint("rebalance", quarter).write.insertInto(table, overwrite=replace)
 
 
 def refresh_summary(spark: SparkSession, spec: TableSpec, strict: bool = False) -> str:

@@ -201,7 +201,7 @@ ORACLE: dict[str, str] = {
         CAST({_PART_NUMBER} AS DOUBLE) AS as_decimal FROM ({_PART_TEXT})""",
     "coerce_integer": f"SELECT p_partkey, CAST({_PART_NUMBER} AS BIGINT) AS whole FROM ({_PART_TEXT})",
     "cast_columns": """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS order_day,
-        CAST(o_custkey AS DOUBLE) AS customer_number, CAST(o_custkey AS VARCHAR) AS customer_text FROM orders""",
+        CAST(o_custkey AS DOUBLE) AS customer_number, o_custkey AS customer_key, CAST(o_custkey AS VARCHAR) AS customer_text FROM orders""",
     "half_away_rounding": """WITH q AS (SELECT l_orderkey, l_partkey, l_linenumber, l_linestatus, l_quantity,
             CAST(l_quantity AS BIGINT) AS n, CASE WHEN l_linestatus = 'F' THEN 1 ELSE -1 END AS s,
             nullif(l_linenumber - 1, 0) AS d FROM lineitem)

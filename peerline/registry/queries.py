@@ -240,15 +240,16 @@ def coerced_integers(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def cast_columns(spark: SparkSession, folder: str) -> DataFrame:
-    """Dates, floats and strings cast from text and numbers."""
-    orders = X.read_table(spark, folder, "orders")
-    day = F.date_format("o_orderdate", "yyyy-MM-dd")
-    return orders.select(
+    """Dates, floats, whole numbers and texts cast by column list."""
+    orders = X.read_table(spark, folder, "orders").select(
         "o_orderkey",
-        F.to_date(day).alias("order_day"),
-        F.col("o_custkey").cast("double").alias("customer_number"),
-        F.col("o_custkey").cast("string").alias("customer_text"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("order_day"),
+        F.col("o_custkey").cast("string").alias("customer_number"),
+        F.concat(F.lit(" "), F.col("o_custkey").cast("string")).alias("customer_key"),
+        F.col("o_custkey").alias("customer_text"),
     )
+    cast = R.recast_columns(orders, ["order_day"], ["customer_number"], ["customer_key"], ["customer_text"])
+    return cast.withColumn("order_day", F.to_date("order_day"))
 
 
 def half_away_rounding(spark: SparkSession, folder: str) -> DataFrame:

@@ -15,15 +15,26 @@ PUBLIC = "public"
 
 
 def create_staging(spark: SparkSession, spec: TableSpec) -> str:
-    """Create the staging table if it is missing, partitioned by quarter; returns its name."""
+    """Create the staging table if it is missing, partitioned by quarter; returns its name.
+
+    Its options make every overwrite touch only the quarters being written.
+    """
     name = f"{STAGING}.{spec.name}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {STAGING}")
     if not spark.catalog.tableExists(name):
         columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in spec.staging_schema)
-        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY ({QUARTER})")
+        options = "OPTIONS ('partitionOverwriteMode' = 'dynamic')"
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {options} PARTITIONED BY ({QUARTER})")
     return name
 
 
+def require_quarter_overwrite(spark: SparkSession, table: str) -> None:
+    """Refuse a table on which an overwrite would drop the quarters not being written."""
+    details = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Storage Properties'").first()
+    if details is None or "partitionOverwriteMode=dynamic" not in details["data_type"]:
+        raise ValueError(f"{table} lacks the option partitionOverwriteMode = dynamic")
+
+
 def read_staging(spark: SparkSession, spec: TableSpec, quarters: Sequence[int | None] | None = None) -> DataFrame:
     """The staging table in its declared column order, or only some quarters of it.
 

@@ -6,6 +6,7 @@ import pytest
 from sheets import authorities, sheet, write_csv
 
 from peerline.plans.clean import clean
+from peerline.plans.publish import append_rows
 from peerline.plans.job import duplicate_keys, run_all, run_table
 from peerline.sources.grid import read_workbooks
 from peerline.specs import SPECS
@@ -78,8 +79,22 @@ def test_first_load_second_load_revision(spark, tmp_path, clean_catalog):
 
     replaced = run("4", replace=True)
     assert replaced.fresh == 108 and spark.table("staging.tab_p1").count() == 108
+    for quarter in ("202403", "202406_revised"):
+        (source / "P1" / f"Detailed_LA_{quarter}.csv").unlink()
+    put(source, spec, 202409, shift=7)
+    only = run("5", replace=True, count_redundant=False)
+    assert (only.fresh, only.redundant) == (36, None)
+    kept = {(r[0], r[1]) for r in spark.table("staging.tab_p1").groupBy("quarter_ending").count().collect()}
+    assert kept == {(202403, 36), (202406, 36), (202409, 36)}  # other quarters are left alone
     with pytest.raises(FileNotFoundError):
-        run("5", model_file="Detailed_LA_202406.csv")
+        run("6", model_file="Detailed_LA_202406.csv")
+
+
+def test_replacing_quarters_needs_the_option(spark, clean_catalog):
+    spark.sql("CREATE DATABASE staging")
+    spark.sql("CREATE TABLE staging.plain (x int, quarter_ending int) USING parquet PARTITIONED BY (quarter_ending)")
+    with pytest.raises(ValueError, match="partitionOverwriteMode"):
+        append_rows(spark.sql("SELECT 1 AS x, 202403 AS quarter_ending"), "staging.plain", replace=True)
 
 
 def test_original_and_revised_file_of_one_quarter(spark, tmp_path, clean_catalog):

@@ -68,3 +68,12 @@ def test_profiles(spark):
     assert rows(rows_per_quarter(df)) == [(202403, 2), (202406, 1)]
     assert rows(filled_cells(df)) == [("delta_id", 2), ("quarter_ending", 3)]
     assert rows(fingerprint_counts(df.na.drop())) == [(2, 1)]
+
+
+def test_recast(spark):
+    df = spark.createDataFrame([("2024-03-31", "1.5", "7", 3), (None, "x", "..", None)], "d string, f string, n string, t int")
+    got = R.recast_columns(df, ["d"], ["f"], ["n"], ["t"])
+    assert [t for _, t in got.dtypes] == ["timestamp_ntz", "double", "bigint", "string"]
+    assert [tuple(r)[1:] for r in got.collect()] == [(1.5, 7, "3"), (None, None, None)]
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        R.recast_columns(spark.createDataFrame([("no date",)], "d string"), dates=["d"]).collect()
