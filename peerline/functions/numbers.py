@@ -41,8 +41,8 @@ def to_whole(text: Column, column_name: str) -> Column:
     return F.when(text.rlike(NUMBER), F.coalesce(text.try_cast("bigint"), whole, refusal))
 
 
-def round_divide(numerator: Column, denominator: Column, digits: int = 0, strict: bool = False) -> Column:
-    """numerator / denominator of two BIGINTs, rounded with halves away from zero.
+def round_divide(numerator: str, denominator: str, digits: int = 0, strict: bool = False) -> Column:
+    """numerator / denominator of two BIGINT expressions, rounded with halves away from zero.
 
     The result is a BIGINT in units of 10^-digits, so 57 / 200 to two digits is
     29. Whole-number arithmetic keeps it exact and cheap. Where that would
@@ -50,14 +50,12 @@ def round_divide(numerator: Column, denominator: Column, digits: int = 0, strict
     below 10^16 it tells any quotient from a tie, for up to two digits. A zero
     denominator gives NULL, or an error when `strict`.
     """
-    scale = 10**digits
-    half = F.when((numerator < 0) == (denominator < 0), denominator).otherwise(-denominator)
-    doubled = F.try_add(F.try_multiply(numerator, F.lit(2 * scale).cast("bigint")), half)
-    divisor = F.nullif(F.try_multiply(denominator, F.lit(2).cast("bigint")), F.lit(0).cast("bigint"))
-    quotient = F.try_divide(numerator.cast("decimal(19,0)"), denominator.cast("decimal(18,0)"))
-    large = (F.round(quotient, digits) * scale).cast("bigint")
-    result = F.coalesce(F.call_function("div", doubled, divisor), large)
+    n, d, scale = f"({numerator})", f"({denominator})", 10**digits
+    doubled = f"try_add(try_multiply({n}, {2 * scale}L), if(({n} < 0) = ({d} < 0), {d}, -{d}))"
+    exact = f"{doubled} div nullif(try_multiply({d}, 2L), 0L)"
+    quotient = f"try_divide(cast({n} as decimal(19, 0)), cast({d} as decimal(18, 0)))"
+    large = f"cast(round({quotient}, {digits}) * {scale} as bigint)"
+    result = f"coalesce({exact}, {large})"
     if strict:
-        zero = F.raise_error(F.lit("division by zero")).cast("bigint")
-        return F.when(denominator == 0, zero).otherwise(result)
-    return result
+        result = f"if({d} = 0, cast(raise_error('division by zero') as bigint), {result})"
+    return F.expr(result)

@@ -25,7 +25,7 @@ def in_units(measure: Measure, column: Column | None = None) -> Column:
     return (column * 1000 if measure.in_thousands else column).cast("bigint")
 
 
-def hundredths(value: Column, base: Column, strict: bool = False) -> Column:
+def hundredths(value: str, base: str, strict: bool = False) -> Column:
     """value / base rounded to two decimals, as a whole number of hundredths."""
     return round_divide(value, base, 2, strict)
 
@@ -52,14 +52,14 @@ def focal_rows(wide: DataFrame, spec: TableSpec) -> DataFrame:
     return wide.filter(F.col(spec.entity_column) == spec.focal)
 
 
-def rounded_mean(total: Column, count: Column) -> Column:
+def rounded_mean(total: str, count: str) -> Column:
     """Mean rounded to a whole unit; NULL without any value."""
     return round_divide(total, count)
 
 
 def peer_means(units: DataFrame, spec: TableSpec) -> DataFrame:
     """One row per quarter: the rounded mean of every measure over the peers."""
-    means = [rounded_mean(F.sum(c), F.count(c)).alias(c) for c in spec.measure_columns]
+    means = [rounded_mean(f"sum({c})", f"count({c})").alias(c) for c in spec.measure_columns]
     return peer_rows(units).groupBy(QUARTER).agg(*means)
 
 
@@ -86,7 +86,7 @@ def add_ratios(rows: DataFrame, spec: TableSpec, strict: bool = False) -> DataFr
     for m in spec.measures:
         metrics.append(from_units(F.col(m.column)).alias(m.label))
         if m.base:
-            share = hundredths(F.col(m.column), F.col(m.base), strict)
+            share = hundredths(m.column, m.base, strict)
             metrics.append(from_hundredths(share).alias(m.ratio_label))
     return rows.select(*spec.key_columns, QUARTER, *metrics)
 

@@ -53,7 +53,7 @@ def peer_summary(wide: DataFrame, spec: TableSpec, strict: bool = False) -> Data
         F.max(F.when(F.col("_focal"), value)).alias("focal"),
         # Taken row by row: with several focal rows the largest ratio need not
         # belong to the largest value.
-        F.max(F.when(F.col("_focal"), hundredths(value, base, strict))).alias("focal_ratio"),
+        F.max(F.when(F.col("_focal"), hundredths("value", "base", strict))).alias("focal_ratio"),
     )
     # Quarters times measures from here on. Ratios of the group use the means
     # already rounded.
@@ -63,11 +63,11 @@ def peer_summary(wide: DataFrame, spec: TableSpec, strict: bool = False) -> Data
         _name_of([m.ratio_label for m in spec.measures]).alias("ratio_label"),
         "focal",
         "focal_ratio",
-        rounded_mean(F.col("total"), F.col("n")).alias("mean"),
-        rounded_mean(F.col("base_total"), F.col("base_n")).alias("base_mean"),
+        rounded_mean("total", "n").alias("mean"),
+        rounded_mean("base_total", "base_n").alias("base_mean"),
     )
     names = (METRIC, spec.focal_column, spec.peer_column)
-    group_ratio = hundredths(F.col("mean"), F.col("base_mean"), strict)
+    group_ratio = hundredths("mean", "base_mean", strict)
     own = (F.col("label"), from_units(F.col("focal")), from_units(F.col("mean")))
     share = (F.col("ratio_label"), from_hundredths(F.col("focal_ratio")), from_hundredths(group_ratio))
     both = F.array(*(F.struct(*(c.alias(n) for c, n in zip(entry, names))) for entry in (own, share)))

@@ -255,13 +255,13 @@ def cast_columns(spark: SparkSession, folder: str) -> DataFrame:
 def half_away_rounding(spark: SparkSession, folder: str) -> DataFrame:
     """Signed halves and quarters rounded to 0 and 2 digits."""
     lines = X.read_table(spark, folder, "lineitem")
-    sign = F.when(F.col("l_linestatus") == "F", 1).otherwise(-1)
-    quantity = (F.col("l_quantity") * sign).cast("bigint")
+    quantity = "cast(if(l_linestatus = 'F', l_quantity, -l_quantity) as bigint)"
+    by_line = round_divide(quantity, "cast(l_linenumber - 1 as bigint)", 2)
     return lines.select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_linestatus", "l_quantity",
-        round_divide(quantity, F.lit(2).cast("bigint")).alias("half"),
-        (round_divide(quantity, F.lit(8).cast("bigint"), 2) / 100.0).alias("eighth"),
-        (round_divide(quantity, (F.col("l_linenumber") - 1).cast("bigint"), 2) / 100.0).alias("by_line"),
+        round_divide(quantity, "2L").alias("half"),
+        (round_divide(quantity, "8L", 2) / 100.0).alias("eighth"),
+        (by_line / 100.0).alias("by_line"),
     )
 
 
