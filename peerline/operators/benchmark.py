@@ -19,10 +19,10 @@ VALUE = "households"
 PERIOD_COLUMNS = [QUARTER, "qtr_year", "year_qtr", "qtr_month", METRIC]
 
 
-def in_units(measure: Measure, column: Column | None = None) -> Column:
-    """The measure as a whole number of units."""
-    column = F.col(measure.column) if column is None else column
-    return (column * 1000 if measure.in_thousands else column).cast("bigint")
+def in_units(measure: Measure) -> str:
+    """The measure as a whole number of units, as an SQL expression."""
+    factor = " * 1000" if measure.in_thousands else ""
+    return f"cast({measure.column}{factor} as bigint)"
 
 
 def hundredths(value: str, base: str, strict: bool = False) -> Column:
@@ -41,7 +41,7 @@ def from_units(column: Column) -> Column:
 def to_units(wide: DataFrame, spec: TableSpec) -> DataFrame:
     """Wide staging rows with all measures as whole units."""
     extra = [PEER_FLAG] if PEER_FLAG in wide.columns else []
-    return wide.select(*spec.key_columns, *(in_units(m).alias(m.column) for m in spec.measures), QUARTER, *extra)
+    return wide.select(*spec.key_columns, *(F.expr(in_units(m)).alias(m.column) for m in spec.measures), QUARTER, *extra)
 
 
 def peer_rows(wide: DataFrame) -> DataFrame:

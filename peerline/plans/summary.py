@@ -80,11 +80,9 @@ def _unpivoted_measures(spec: TableSpec) -> Column:
 
     Written as one SQL expression: the specs hold up to 21 measures.
     """
-    units = {
-        m.column: f"cast({m.column} * 1000 as bigint)" if m.in_thousands else f"cast({m.column} as bigint)"
-        for m in spec.measures
-    }
-    entries = [f"{k}, {units[m.column]}, {units.get(m.base, 'cast(null as bigint)')}" for k, m in enumerate(spec.measures)]
+    units = {m.column: in_units(m) for m in spec.measures}
+    missing = "cast(null as bigint)"
+    entries = [f"{k}, {units[m.column]}, {units.get(m.base, missing)}" for k, m in enumerate(spec.measures)]
     return F.expr(f"stack({len(entries)}, {', '.join(entries)}) as (measure, value, base)")
 
 

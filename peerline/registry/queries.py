@@ -104,7 +104,7 @@ def scaled_population(spark: SparkSession, folder: str) -> DataFrame:
     measure = SPECS["tab_a1"].measures[-1]
     wide = X.assessment_facts(spark, folder)
     return wide.select(
-        "local_authority", QUARTER, B.in_units(measure).alias("households_in_area"),
+        "local_authority", QUARTER, F.expr(B.in_units(measure)).alias("households_in_area"),
         F.col(measure.column).cast("double").alias(measure.column),
     )
 
