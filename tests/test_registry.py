@@ -2,9 +2,15 @@ import pytest
 from compare import difference, expected
 
 import __spark_entry__ as entry_point
+from peerline.registry.oracle import ORACLE
+from peerline.registry.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry_point.queries(), entry_point.oracle_sql()
+
+
+def test_entry_point_holds_the_registry():
+    assert QUERIES.items() <= entry_point.queries().items()
+    assert ORACLE.items() <= entry_point.oracle_sql().items()
 
 
 def test_every_query_has_its_sql():
