@@ -27,9 +27,9 @@ from peerline.session import materialise
 LENGTH = 200  # bytes of a string that must not repeat
 GRAM = 24  # bytes of the hashed pieces that make the keys
 SYMBOL = 40  # bytes of a symbol of the transforms
-SLICE = 2_000_000  # bytes that a task cuts at a time
-BUCKET = 6_000_000  # bytes of segments merged in one group
-SHARD = 1_500_000  # bytes of segments sorted as one shard
+SLICE = 1_000_000  # bytes that a task cuts at a time
+BUCKET = 1_500_000  # bytes of segments merged in one group
+SHARD = 400_000  # bytes of segments sorted as one shard
 CROWD = 2048  # different segments under a key beyond which it is split by a second key
 BASE = np.uint64(0x9E3779B97F4A7C15)  # odd
 
@@ -116,14 +116,14 @@ def segments(data: np.ndarray, sizes: np.ndarray, salt: int = 0) -> dict[str, np
     }
 
 
-def _binary(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def binary(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(all bytes, size of each)."""
     column = pc.fill_null(column.cast(pa.binary()), b"")
     sizes = pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64)
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8), sizes
 
 
-def _slices(column: pa.Array) -> Iterator[tuple[int, int]]:
+def slices(column: pa.Array) -> Iterator[tuple[int, int]]:
     ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     at = 0
     while at < len(column):
@@ -137,8 +137,8 @@ def cut(rows: DataFrame, salt: int = 0) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in _slices(batch.column(1)):
-                data, sizes = _binary(batch.column(1).slice(a, b - a))
+            for a, b in slices(batch.column(1)):
+                data, sizes = binary(batch.column(1).slice(a, b - a))
                 found = segments(data, sizes, salt)
                 owner = found.pop("owner")
                 if len(owner):
