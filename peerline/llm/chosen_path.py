@@ -14,22 +14,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from peerline.llm.common import connected_components, let, window_hashes, words
+from peerline.llm.bwt_repeats import BASE, Rolling, binary, mixed, slices
+from peerline.llm.common import connected_components
 from peerline.session import materialise
 
 SHINGLE = 5
 SIMILARITY = 0.8
-RECALL = 0.999
-SKETCH = 64  # sampled shingles kept of a set, on average, to split buckets and to judge pairs
+RECALL = 0.99
+SKETCH = 48  # sampled shingles kept of a set, on average, to split buckets and to judge pairs
 SMALL = 64  # sets in a bucket that are compared directly
 DEPTH = 4  # splits before a bucket is compared block by block
 SPLIT = 1.5  # shared shingles that hand a pair on, on average, at each split
 LIKELY = 0.55  # sampled similarity from which a pair is read in full
 BLOCK = 256  # sets in a block of a large bucket
 PAIRS = 4096  # pairs read in one group
+DENSE = 0.4  # sampled similarity to one member, on average, from which a large bucket is compared as it is
+SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
 
 def runs_for(recall: float) -> int:
@@ -44,25 +48,90 @@ def runs_for(recall: float) -> int:
     return max(1, math.ceil(-math.log(1 - recall) / survive))
 
 
-def shingles(ws: Column, size: int = SHINGLE) -> Column:
-    """Distinct hashes of the runs of `size` words; a shorter text is one shingle, a text without words none."""
-    return let(ws, lambda w: F.array_distinct(window_hashes(w, size)))
-
-
 def _under(value: Column, bound: Column) -> Column:
     """Whether a hash, read as a number from 0 to 1, lies under the bound."""
     return F.shiftrightunsigned(value, 1).cast("double") < F.lit(2.0**63) * bound
 
 
+def shingle_sets(texts: pa.Array, size: int = SHINGLE) -> list[np.ndarray]:
+    """Distinct shingle hashes of each text, sorted: runs of `size` words, the whole text if it has fewer, none without words."""
+    data, sizes = binary(texts)
+    ends = np.cumsum(sizes)
+    solid = ~SPACE[data]
+    border = np.zeros(len(data) + 1, bool)
+    border[ends] = border[0] = True
+    starts = np.flatnonzero(solid & np.concatenate([[True], ~solid[:-1]])[: len(solid)] | solid & border[:-1])
+    stops = np.flatnonzero(solid & (np.concatenate([~solid[1:], [True]])[: len(solid)] | border[1:])) + 1
+    hashes = Rolling(data).of(starts, stops)
+    counts = np.bincount(np.searchsorted(ends, starts, side="right"), minlength=len(sizes))
+    runs = np.zeros(max(0, len(hashes) - size + 1), np.uint64)
+    for k in range(size if len(runs) else 0):
+        runs = runs * BASE + hashes[k : k + len(runs)]
+    runs = mixed(runs)
+    out, at = [], 0
+    for n in counts.tolist():
+        if n >= size:
+            out.append(np.unique(runs[at : at + n - size + 1]))
+        elif n:
+            short = np.uint64(n)
+            for h in hashes[at : at + n]:
+                short = np.uint64((int(short) * int(BASE) + int(h)) % 2**64)
+            out.append(mixed(np.array([short])))
+        else:
+            out.append(np.zeros(0, np.uint64))
+        at += n
+    return out
+
+
+def _names(s: np.ndarray) -> tuple[int, int]:
+    """Two 64-bit hashes of a set."""
+    first, second = mixed(s).sum(dtype=np.uint64), mixed(s ^ BASE).sum(dtype=np.uint64)
+    return int(first.astype(np.int64)), int(second.astype(np.int64))
+
+
 def sampled(docs: DataFrame, sketch: int = SKETCH) -> DataFrame:
-    """(doc_id, x, y, n, near): two hashes that name the set, its size, and its sampled shingles, each hashed again."""
-    made = docs.select("doc_id", shingles(words(F.col("text"))).alias("s")).filter(F.size("s") > 0)
-    # Sampling goes by a second hash, so that it has nothing to do with the names of shingles.
-    mixed = made.select("doc_id", F.transform("s", lambda t: F.xxhash64(F.lit(5), t)).alias("s"))
-    mixed = mixed.select("doc_id", F.sort_array("s").alias("s"))
-    n = F.size("s")
-    kept = F.filter("s", lambda t: _under(t, F.lit(float(sketch)) / (SIMILARITY * n)))
-    return mixed.select("doc_id", F.xxhash64("s").alias("x"), F.xxhash64(F.lit(1), "s").alias("y"), n.alias("n"), kept.alias("near"))
+    """(doc_id, x, y, n, near): two hashes that name the set, its size, and its sampled shingles. Texts without words are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in slices(batch.column(1)):
+                sets = shingle_sets(batch.column(1).slice(a, b - a))
+                held = [i for i, s in enumerate(sets) if len(s)]
+                named = [_names(sets[i]) for i in held]
+                near = [s[(s >> np.uint64(1)) < np.uint64(min(1.0, sketch / (SIMILARITY * len(s))) * 2.0**63)] for s in (sets[i] for i in held)]
+                flat = np.concatenate(near) if near else np.zeros(0, np.uint64)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(a, b - a).take(pa.array(held, pa.int64())),
+                        pa.array([x for x, _ in named], pa.int64()),
+                        pa.array([y for _, y in named], pa.int64()),
+                        pa.array([len(sets[i]) for i in held], pa.int32()),
+                        pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum([len(s) for s in near])]).astype(np.int32), flat.view(np.int64)),
+                    ],
+                    names=["doc_id", "x", "y", "n", "near"],
+                )
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, x long, y long, n int, near array<bigint>")
+
+
+def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(set, copies, s) of (text, set, copies, x) where the text still has the set it was asked for."""
+    for batch in batches:
+        for a, b in slices(batch.column(0)):
+            sets = shingle_sets(batch.column(0).slice(a, b - a))
+            want = batch.column(3).slice(a, b - a).to_pylist()
+            held = [i for i, s in enumerate(sets) if len(s) and _names(s)[0] == want[i]]
+            flat = np.concatenate([sets[i] for i in held]) if held else np.zeros(0, np.uint64)
+            taken = pa.array(held, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(1).slice(a, b - a).take(taken),
+                    batch.column(2).slice(a, b - a).take(taken),
+                    pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum([len(sets[i]) for i in held])]).astype(np.int32), flat.view(np.int64)),
+                ],
+                names=["set", "copies", "s"],
+            )
 
 
 def _estimate(a: np.ndarray, b: np.ndarray, bound: int) -> tuple[int, int]:
@@ -196,12 +265,22 @@ def near_duplicates(docs: DataFrame, recall: float = RECALL) -> DataFrame:
         small.append(joined.filter(F.col("members") <= SMALL).select("set", "path"))
         crowded = joined.filter(F.col("members") > SMALL).select("set", "n", "path", "members")
         if depth == DEPTH:
-            large.append(crowded.select("set", "path", "members"))
+            large.append(crowded.select("set", "path"))
             break
         if known.filter(F.col("members") > SMALL).isEmpty():
             break
-        # Along the path, further shingles of the sample are drawn by a hash of path and shingle.
-        drawn = crowded.join(sets.select("set", "near"), "set").withColumn(
+        crowded = materialise(crowded.join(sets.select("set", "near"), "set"), "crowded")
+        # A bucket whose members are mostly like one of them would not get smaller: it is compared as it is.
+        pivot = crowded.groupBy("path").agg(F.min_by("near", "set").alias("pivot"))
+        same = F.size(F.array_intersect("near", "pivot"))
+        like = same / (F.size("near") + F.size("pivot") - same)
+        dense = materialise(
+            crowded.join(pivot, "path").groupBy("path").agg(F.avg(like).alias("like")).select("path", (F.col("like") >= DENSE).alias("dense")), "dense"
+        )
+        crowded = crowded.join(dense, "path")
+        large.append(crowded.filter("dense").select("set", "path"))
+        # Along the other paths, further shingles of the sample are drawn by a hash of path and shingle.
+        drawn = crowded.filter("not dense").withColumn(
             "next",
             F.expr(
                 f"filter(transform(near, t -> xxhash64(path, t)), h -> shiftrightunsigned(h, 1) < "
@@ -227,7 +306,12 @@ def near_duplicates(docs: DataFrame, recall: float = RECALL) -> DataFrame:
         .applyInPandas(_likely_pairs, "a long, b long")
         .distinct()
     )
-    in_large = materialise(large[0].distinct(), "large") if large else None
+    in_large = None
+    if large:
+        every = large[0]
+        for more in large[1:]:
+            every = every.unionByName(more)
+        in_large = materialise(every.distinct(), "large")
     if in_large is not None:
         lists = in_large.groupBy("set").agg(F.collect_set("path").alias("paths"))
         likely = likely.join(lists.select(F.col("set").alias("a"), F.col("paths").alias("_pa")), "a", "left").join(
@@ -250,13 +334,9 @@ def near_duplicates(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     # The full sets of those that are to be read, from one document each.
     of_doc = marked.join(sets.select("set", "x", "y", "doc", "copies"), ["x", "y"]).filter(F.col("doc_id") == F.col("doc"))
     reading = needed.distinct().join(of_doc.select("set", "doc_id", "x", "copies"), "set")
-    texts = docs.select("doc_id", shingles(words(F.col("text"))).alias("raw")).filter(F.size("raw") > 0)
-    full = (
-        texts.join(reading, "doc_id")
-        .withColumn("s", F.sort_array(F.transform("raw", lambda t: F.xxhash64(F.lit(5), t))))
-        .filter(F.xxhash64("s") == F.col("x"))
-        .groupBy("set")
-        .agg(F.first("s").alias("s"), F.first("copies").alias("copies"))
+    texts = docs.select("doc_id", "text").join(reading, "doc_id").select("text", "set", "copies", "x")
+    full = texts.mapInArrow(_full_sets, "set long, copies long, s array<bigint>").groupBy("set").agg(
+        F.first("s").alias("s"), F.first("copies").alias("copies")
     )
     full = materialise(full, "full")
     confirmed = (
@@ -271,18 +351,32 @@ def near_duplicates(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     edges = confirmed
     if in_large is not None:
         lists = in_large.groupBy("set").agg(F.collect_set("path").alias("paths"))
-        blocks = F.expr(f"1 + members div {BLOCK}")
-        placed = (
-            in_large.join(lists, "set")
-            .withColumn("blocks", blocks)
-            .withColumn("block", F.pmod(F.xxhash64("set", "path"), F.col("blocks")).cast("long"))
+        # Members whose first large bucket is the same have met there: they form blocks that need not meet again.
+        placed = in_large.join(lists.withColumn("first", F.array_min("paths")), "set")
+        groups_in = placed.groupBy("path", "first").agg((F.lit(1) + F.expr(f"count(*) div {BLOCK}")).alias("parts"))
+        groups_in = materialise(groups_in, "groups")
+        placed = materialise(
+            placed.join(groups_in, ["path", "first"]).select(
+                "set", "path", "paths", F.xxhash64("first", F.pmod(F.xxhash64("set", "path"), F.col("parts"))).alias("block")
+            ),
+            "placed",
         )
-        meeting = placed.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
-            "set", "path", "paths", "block",
-            F.least("block", "with").alias("b1"), F.greatest("block", "with").alias("b2"),
+        blocks = groups_in.select(
+            "path", "first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")
+        ).select("path", "first", F.xxhash64("first", "part").alias("block"))
+        others = blocks.select(F.col("path").alias("path2"), F.col("first").alias("first2"), F.col("block").alias("block2"))
+        meets = blocks.join(others, (F.col("path") == F.col("path2")) & (F.col("block") <= F.col("block2"))).filter(
+            (F.col("first") != F.col("first2")) | (F.col("first") == F.col("path"))
+        )
+        meets = materialise(meets.select("path", F.col("block").alias("b1"), F.col("block2").alias("b2")), "meets")
+        sides = meets.select("path", F.col("b1").alias("block"), "b1", "b2").union(
+            meets.filter("b1 <> b2").select("path", F.col("b2"), "b1", "b2")
         )
         dense = materialise(
-            meeting.join(full, "set").groupBy("path", "b1", "b2").applyInPandas(_block_pairs, "a long, b long, links long"), "dense"
+            placed.join(sides, ["path", "block"]).join(full, "set").groupBy("path", "b1", "b2").applyInPandas(
+                _block_pairs, "a long, b long, links long"
+            ),
+            "dense-links",
         )
         edges = edges.union(dense.filter("b is not null").select("a", "b"))
         links = links.union(dense.filter("b is null").select("a", "links"))
