@@ -10,7 +10,7 @@ from peerline.functions.periods import quarter_from_name
 from peerline.functions.text import text_array
 from peerline.operators.rows import dedup_rows, drop_sparse_rows, not_null, peer_flag, start_at_anchor
 from peerline.session import materialise
-from peerline.sources.grid import DEFAULT_WIDTH, file_name
+from peerline.sources.grid import file_name
 from peerline.specs import PEER_FLAG, QUARTER, Measure, TableSpec
 
 # Rows above the header, and the fewest filled cells of a column or row worth keeping.
@@ -72,7 +72,10 @@ def _layout(grid: DataFrame, spec: TableSpec, width: int, above: int, least: int
     last = F.array_max(F.transform("counts", lambda n, i: F.when(n > 0, i + 1).otherwise(0)))
     return heads.select(
         "file",
-        quarter_from_name(file_name(F.col("file"))).alias(QUARTER),
+        F.coalesce(
+            quarter_from_name(file_name(F.col("file"))),
+            F.raise_error(F.concat(F.lit(f"{spec.name}: no quarter in the name of "), F.col("file"))).cast("int"),
+        ).alias(QUARTER),
         "header_row",
         positions.alias("positions"),
         kept.alias("kept"),
@@ -98,7 +101,7 @@ def _typed(measure: Measure) -> Column:
 def clean(
     grid: DataFrame,
     spec: TableSpec,
-    width: int = DEFAULT_WIDTH,
+    width: int | None = None,
     above: int = ROWS_ABOVE_HEADER,
     least_per_column: int = LEAST_CELLS_PER_COLUMN,
     least_per_row: int = LEAST_CELLS_PER_ROW,
@@ -114,6 +117,8 @@ def clean(
     sends it to the tasks only if it is small. The grid itself is shuffled once,
     for the duplicates, with copies collapsed beforehand.
     """
+    if width is None:
+        width = grid.agg(F.max(F.size("cells"))).first()[0] or 0
     layout = materialise(_layout(grid, spec, width, above, least_per_column), f"{spec.name}-layout")
     body = grid.join(layout, "file").filter(F.col("row_no") > F.col("header_row"))
 

@@ -50,10 +50,10 @@ def orders_by_nation(spark: SparkSession, folder: str, part: Column) -> DataFram
 
 
 def lines_by_nation(spark: SparkSession, folder: str, part: Column, status: str | None = None) -> DataFrame:
-    """(nation, quarter_ending, part) of every order line, or of one line status."""
+    """(nation, quarter_ending, part) of every order line; with a status, lines of another one have no part."""
     lines = read_table(spark, folder, "lineitem")
     if status:
-        lines = lines.filter(F.col("l_linestatus") == status)
+        part = F.when(F.col("l_linestatus") == status, part)
     lines = lines.select("l_suppkey", quarter_of_date(F.col("l_shipdate")).alias(QUARTER), part.alias("part"))
     suppliers = read_table(spark, folder, "supplier").select("s_suppkey", F.col("s_nationkey").alias("nation"))
     return lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey")).select("nation", QUARTER, "part")
@@ -131,6 +131,7 @@ def ended_prevention_facts(spark: SparkSession, folder: str) -> DataFrame:
 
 def ended_relief_facts(spark: SparkSession, folder: str) -> DataFrame:
     spec = nation_spec("tab_r1")
+    # The last part is open-ended: a discount of nine hundredths or more.
     discount_step = F.least(F.round(F.col("l_discount") * 100), F.lit(9.0)).cast("int")
     return counted(lines_by_nation(spark, folder, discount_step, "O"), spec, folder)
 
@@ -142,5 +143,6 @@ def accommodation_facts(spark: SparkSession, folder: str) -> DataFrame:
 
 def composition_facts(spark: SparkSession, folder: str) -> DataFrame:
     spec = nation_spec("tab_ta2")
+    # The last part is open-ended: seven steps or more.
     step = F.least(F.floor(F.col("o_totalprice") / ORDER_VALUE_STEP), F.lit(7)).cast("int")
     return counted(orders_by_nation(spark, folder, step), spec, folder)

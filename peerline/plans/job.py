@@ -20,7 +20,7 @@ from peerline.plans.publish import (
     export_summary_csv,
     refresh_summary,
 )
-from peerline.session import materialise
+from peerline.session import job_tables, materialise
 from peerline.sources.grid import list_sources, read_grid, require_source
 from peerline.sources.tables import create_staging, read_staging, read_summary
 from peerline.specs import QUARTER, SPECS, TableSpec
@@ -86,28 +86,31 @@ def run_table(
 ) -> LoadReport:
     """Read `<source>/<sheet>`, load what is new, refresh and publish to `target`.
 
-    `count_redundant` compares all of staging with the sources; leave it out
-    where the sources no longer hold every quarter.
+    A run may be repeated into the same target: exports take the place of earlier ones.
+    `count_redundant` compares all of staging with the sources and writes the rows the sources no
+    longer hold; leave it out where the sources no longer hold every quarter.
     """
     folder = f"{source}/{spec.sheet}"
     if model_file:
         require_source(list_sources(spark, folder), model_file)
-    grid = materialise(read(spark, folder), f"{spec.name}-grid")
-    cleaned = materialise(add_fingerprint(clean(grid, spec), spec.staging_columns), f"{spec.name}-cleaned")
-
-    fresh = load_fresh(cleaned, spec, replace)
-    redundant = find_redundant(cleaned, spec).count() if count_redundant else None
-
-    exported = cleaned if spec.export_all_rows else fresh
-    # The keys behind the quarter let the sort spread one large quarter over many tasks.
-    export_csv(exported, f"{target}/{spec.name}_cleaned.csv", [QUARTER, *spec.key_columns])
-
-    refresh_summary(spark, spec)
-    create_public_view(spark, spec)
-    export_summary_csv(read_summary(spark, spec), f"{target}/{spec.summary_file}.csv")
-
-    per_quarter = {r[QUARTER]: r["row_count"] for r in rows_per_quarter(cleaned).collect()}
-    return LoadReport(spec.name, sum(per_quarter.values()), fresh.count(), redundant, per_quarter)
+    with job_tables(spark, spec.name):
+        grid = materialise(read(spark, folder), f"{spec.name}-grid")
+        cleaned = materialise(add_fingerprint(clean(grid, spec), spec.staging_columns), f"{spec.name}-cleaned")
+
+        fresh = load_fresh(cleaned, spec, replace)
+        # The summary first: it must follow staging even if an export fails.
+        refresh_summary(spark, spec)
+        create_public_view(spark, spec)
+        export_summary_csv(read_summary(spark, spec), f"{target}/{spec.summary_file}.csv")
+        export_csv(cleaned if spec.export_all_rows else fresh, f"{target}/{spec.name}_cleaned.csv")
+        redundant = None
+        if count_redundant:
+            found = materialise(find_redundant(cleaned, spec), f"{spec.name}-redundant")
+            export_csv(found, f"{target}/{spec.name}_redundant.csv")
+            redundant = found.count()
+
+        per_quarter = {r[QUARTER]: r["row_count"] for r in rows_per_quarter(cleaned).collect()}
+        return LoadReport(spec.name, sum(per_quarter.values()), fresh.count(), redundant, per_quarter)
 
 
 def run_all(

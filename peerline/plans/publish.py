@@ -54,19 +54,17 @@ def public_view(summary: DataFrame, spec: TableSpec, name: str) -> DataFrame:
     return summary.sparkSession.table(name)
 
 
-def export_csv(df: DataFrame, path: str, order: list[str] | None = None) -> str:
-    """UTF-8 CSV with a header in a folder, one part per task."""
-    if order:
-        df = df.orderBy(*order)
-    df.write.option("header", True).csv(path)
+def export_csv(df: DataFrame, path: str) -> str:
+    """UTF-8 CSV with a header in a folder, one part per task, in place of an earlier export."""
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
     return path
 
 
 def export_summary_csv(summary: DataFrame, path: str) -> str:
-    """A summary as a single ordered CSV part; it has quarters times metrics rows.
+    """A summary as a single ordered CSV part in place of an earlier one; it has quarters times metrics rows.
 
     The one task only sorts and writes: the aggregate before it stays parallel.
     """
     single = summary.repartition(1).sortWithinPartitions(QUARTER, "metrics")
-    single.write.option("header", True).csv(path)
+    single.write.mode("overwrite").option("header", True).csv(path)
     return path

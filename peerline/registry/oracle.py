@@ -26,9 +26,10 @@ def _orders(part: str) -> str:
 
 
 def _lines(part: str, status: str | None = None) -> str:
-    where = f"WHERE l_linestatus = '{status}'" if status else ""
+    if status:
+        part = f"CASE WHEN l_linestatus = '{status}' THEN {part} END"
     return f"""SELECT n_nationkey, n_name, {_quarter('l_shipdate')} AS quarter_ending, {part} AS part
-        FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey {where}"""
+        FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey"""
 
 
 def _band(parts: int) -> str:
@@ -244,7 +245,8 @@ ORACLE: dict[str, str] = {
     ),
     "clean_sheets": _SHEETS,
     "csv_export": _ORDER_ROWS,
-    "grid_scan": _ORDER_ROWS,
+    "grid_scan": f"""SELECT * REPLACE (CASE WHEN o_orderkey % 7 = 0
+        THEN concat('first "line",', chr(10), chr(10), 'last of ', priority) ELSE priority END AS priority) FROM ({_ORDER_ROWS})""",
     "source_listing": f"SELECT DISTINCT {_quarter('o_orderdate')} AS quarter_ending FROM orders",
     "staging_append": f"""{_DELTA} SELECT * FROM old UNION ALL SELECT * FROM new WHERE NOT EXISTS (
         SELECT 1 FROM old WHERE old.o_orderkey = new.o_orderkey AND old.priority = new.priority)""",

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,9 +48,25 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="run-", dir="/tmp")
 
 
+_job: contextvars.ContextVar[str | None] = contextvars.ContextVar("job", default=None)
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A fresh path under the working folder; nothing is ever cleared there."""
-    return f"{working_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the working folder, or under the job's own part of it."""
+    return f"{_job.get() or working_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@contextlib.contextmanager
+def job_tables(spark: SparkSession, name: str) -> Iterator[None]:
+    """Working tables written inside go to one folder, which is dropped at the end and after a failure."""
+    folder = f"{working_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    token = _job.set(folder)
+    try:
+        yield
+    finally:
+        _job.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

@@ -6,15 +6,13 @@ text of every cell, NULL where the cell is empty.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-GRID_SCHEMA = "file string, row_no bigint, cells array<string>"
-DEFAULT_WIDTH = 128
 CSV_FILES = "*.csv*"
-SHEET_ROW_LIMIT = 1_048_576  # rows a workbook sheet can hold
 
 # Cell texts that stand for an empty cell in a sheet reader.
 EMPTY_CELLS = (
@@ -22,7 +20,6 @@ EMPTY_CELLS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
-_BLOCK_BITS = 20  # splits of a file are at least a megabyte apart
 _ROW_BITS = 33  # bits monotonically_increasing_id leaves for the row within a task
 
 
@@ -49,11 +46,12 @@ def require_source(sources: DataFrame, name: str) -> None:
 def _row_order(block_start: Column) -> Column:
     """Order of a line within its file, without a shuffle or a sort.
 
-    The split's place in the file leads; within a split the running row id of
+    The split's whole place in the file leads; within a split the running row id of
     the task rises with the lines.
     """
-    block = F.shiftleft(F.shiftright(block_start, _BLOCK_BITS), _ROW_BITS)
-    return block.bitwiseOR(F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))
+    place = block_start.cast("decimal(38,0)") * F.lit(1 << _ROW_BITS).cast("decimal(38,0)")
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    return (place + row).cast("decimal(38,0)")
 
 
 def _blank_to_null(cells: Column) -> Column:
@@ -67,70 +65,64 @@ def text_lines(source: DataFrame) -> DataFrame:
     )
 
 
-def parse_lines(lines: DataFrame, width: int = DEFAULT_WIDTH) -> DataFrame:
-    """Grid rows of CSV lines; a line with more than `width` cells is an error rather than cut short."""
+def _separators(line: Column) -> Column:
+    """Commas of a line, those inside quotes included: never fewer than its cells need."""
+    return F.length(line) - F.length(F.replace(line, F.lit(","), F.lit("")))
+
+
+def records(lines: DataFrame) -> DataFrame:
+    """(file, row_no, value): lines, those that a quoted cell spreads over several put together again.
+
+    Only files with a line of an odd number of quotes are touched: their lines are ordered and a
+    record ends where the quotes so far are even. A file whose quotes never close is an error that names it.
+    """
+    numbered = lines.select("file", _row_order(F.col("block_start")).alias("row_no"), "value")
+    odd = (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2
+    open_files = numbered.filter(odd == 1).select("file").distinct()
+    if open_files.isEmpty():
+        return numbered
+    in_order = Window.partitionBy("file").orderBy("row_no")
+    before = F.coalesce(F.sum(odd).over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    spread = numbered.join(open_files, "file", "left_semi").withColumn("starts", (before % 2 == 0).cast("long"))
+    spread = spread.withColumn("record", F.sum("starts").over(in_order)).withColumn("odd", odd)
+    never_closed = F.raise_error(F.concat(F.lit("a quoted cell is never closed in "), F.col("file")))
+    whole = spread.groupBy("file", "record").agg(
+        F.min("row_no").alias("row_no"), F.sort_array(F.collect_list(F.struct("row_no", "value"))).alias("parts"), F.sum("odd").alias("odd")
+    )
+    text = F.array_join(F.transform("parts", lambda part: part["value"]), "\n")
+    closed = whole.select("file", "row_no", F.when(F.col("odd") % 2 == 0, text).otherwise(never_closed.cast("string")).alias("value"))
+    return numbered.join(open_files, "file", "left_anti").unionByName(closed)
+
+
+def parse_lines(lines: DataFrame, width: int | None = None) -> DataFrame:
+    """Grid rows of CSV lines, as wide as the widest line needs.
+
+    With a `width`, a line with more cells than that is an error rather than cut short.
+    """
+    whole = records(lines)
+    if width is None:
+        width = 1 + (whole.agg(F.max(_separators(F.col("value")))).first()[0] or 0)
     columns = [f"c{i}" for i in range(width)]
-    # Separators inside quotes are counted too: the guard may ask for more width
-    # than is needed, but can never let a cell get lost.
-    separators = F.length("value") - F.length(F.replace("value", F.lit(","), F.lit("")))
+    separators = _separators(F.col("value"))
     too_wide = F.raise_error(F.concat(F.lit(f"more than {width} cells in a line of "), F.col("file")))
     # Filled up to the full width: the parser raises, and catches, an exception for
     # every cell a line lacks.
     full = F.concat("value", F.repeat(F.lit(","), width - 1 - separators))
     line = F.when(separators < width, full).otherwise(too_wide.cast("string"))
     schema = ", ".join(f"{c} string" for c in columns)
-    parsed = lines.select(
-        "file", _row_order(F.col("block_start")).alias("row_no"), F.from_csv(line, schema, {"escape": '"'}).alias("f")
-    )
+    parsed = whole.select("file", "row_no", F.from_csv(line, schema, {"escape": '"'}).alias("f"))
     cells = F.expr(f"array({', '.join(f'f.{c}' for c in columns)})")
     return parsed.select("file", "row_no", _blank_to_null(cells).alias("cells"))
 
 
-def read_grid(spark: SparkSession, path: str | Sequence[str], width: int = DEFAULT_WIDTH) -> DataFrame:
-    """Exported sheets (CSV, one sheet row per line) of any number and size in one scan.
+def read_grid(spark: SparkSession, path: str | Sequence[str], width: int | None = None) -> DataFrame:
+    """Exported sheets (CSV) of any number, size and width in one scan.
 
     Lines are read split by split, so a huge file is spread over many tasks.
     """
     return parse_lines(text_lines(spark.read.option("pathGlobFilter", CSV_FILES).text(path)), width)
 
 
-def sheet_texts(content: bytes, sheet: str) -> list[list[str | None]]:
-    """Cells of one workbook sheet, decoded by the library pandas uses for the format."""
-    import io
-
-    import pandas as pd
-
-    cells = pd.read_excel(io.BytesIO(content), sheet_name=sheet, header=None, dtype=str)
-    return cells.astype(object).where(cells.notna(), None).values.tolist()
-
-
-def read_workbooks(
-    spark: SparkSession,
-    path: str,
-    sheet: str,
-    extensions: Sequence[str] = ("xls", "ods"),
-    decode: Callable[[bytes, str], list[list[str | None]]] = sheet_texts,
-) -> DataFrame:
-    """One sheet of every workbook in a folder, one workbook per task.
-
-    A sheet cannot exceed its format's own row limit, so the unit of work is bounded.
-    """
-
-    def rows(batches):
-        import pandas as pd
-
-        for batch in batches:
-            for name, content in zip(batch["path"], batch["content"]):
-                cells = decode(content, sheet)
-                if len(cells) > SHEET_ROW_LIMIT:
-                    raise ValueError(f"sheet too long in {name}")
-                yield pd.DataFrame({"file": name, "row_no": range(len(cells)), "cells": cells})
-
-    pattern = "*.{" + ",".join(f"{e}*" for e in extensions) + "}"
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
-    return files.select("path", "content").mapInPandas(rows, GRID_SCHEMA)
-
-
 def file_name(file: Column) -> Column:
     """Last part of a path."""
     return F.regexp_extract(file, r"([^/]*)$", 1)

@@ -9,7 +9,6 @@ from pyspark.sql import types as T
 
 QUARTER = "quarter_ending"
 PEER_FLAG = "is_neighbouring_la"
-NAME_LIMIT = 63  # bytes kept of a summary metric name
 
 
 @dataclass(frozen=True)
@@ -54,6 +53,12 @@ class TableSpec:
     entity_header: str = "Unnamed: 1"
     export_all_rows: bool = False  # cleaned CSV: every row with its fingerprint, or fresh rows only
 
+    def __post_init__(self) -> None:
+        names = self.metric_names
+        twice = sorted({n for n in names if names.count(n) > 1})
+        if twice:
+            raise ValueError(f"{self.name}: metric names used twice: {', '.join(twice)}")
+
     @property
     def measure_columns(self) -> list[str]:
         return [m.column for m in self.measures]
@@ -102,7 +107,7 @@ def build_measures(
 ) -> tuple[Measure, ...]:
     """Measures from a {header: column} map where `total` divides all the others.
 
-    Labels carry `prefix`, ratio labels `perc_` + prefix, cut to the name limit.
+    Labels carry `prefix`, ratio labels `perc_` + prefix; `ratio_names` holds the ratio names that differ.
     """
     ratio_names = ratio_names or {}
     out = []
@@ -113,7 +118,7 @@ def build_measures(
         if column in no_ratio:
             out.append(Measure(column, header, prefix + column))
             continue
-        ratio = f"perc_{prefix}{ratio_names.get(column, column)}"[:NAME_LIMIT]
+        ratio = f"perc_{prefix}{ratio_names.get(column, column)}"
         out.append(Measure(column, header, prefix + column, total, ratio))
     return tuple(out)
 
@@ -166,6 +171,9 @@ A2_REASON_HEADERS = {
 }
 
 # The ratio of this reason is named without the "or".
+TA1_RATIO_NAMES = {
+    "bnb_ta_with_children_exceeding_6wks_awaiting_review_or_appeal": "bnb_ta_with_children_exceeding_6wks_awaiting_review_or_app",
+}
 A2_RATIO_NAMES = {"family_or_friend_terminations": "family_friend_terminations"}
 
 P1_HEADERS = {
@@ -290,7 +298,7 @@ SPECS: dict[str, TableSpec] = {
         ),
         _spec(
             "tab_ta1", "TA1", "temp_accommodation_summary",
-            build_measures(TA1_HEADERS, "households_in_ta", no_ratio=["children_headcount_in_ta"]),
+            build_measures(TA1_HEADERS, "households_in_ta", no_ratio=["children_headcount_in_ta"], ratio_names=TA1_RATIO_NAMES),
         ),
         _spec(
             "tab_ta2", "TA2", "temp_accommodation_households_summary",

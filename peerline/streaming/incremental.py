@@ -8,8 +8,8 @@ from peerline.functions.text import add_fingerprint
 from peerline.plans.clean import clean
 from peerline.plans.job import load_fresh
 from peerline.plans.publish import create_public_view, refresh_summary
-from peerline.session import materialise
-from peerline.sources.grid import CSV_FILES, DEFAULT_WIDTH, parse_lines, text_lines
+from peerline.session import job_tables, materialise
+from peerline.sources.grid import CSV_FILES, parse_lines, text_lines
 from peerline.specs import TableSpec
 
 
@@ -19,7 +19,7 @@ def load_arrivals(
     source: str,
     progress: str,
     files_at_once: int = 1000,
-    width: int = DEFAULT_WIDTH,
+    width: int | None = None,
 ) -> None:
     """Clean and load every file of `<source>/<sheet>` not seen before, then refresh the summary.
 
@@ -29,9 +29,10 @@ def load_arrivals(
     """
 
     def load(lines: DataFrame, _batch: int) -> None:
-        grid = materialise(parse_lines(lines, width), f"{spec.name}-arrivals")
-        cleaned = add_fingerprint(clean(grid, spec, width), spec.staging_columns)
-        load_fresh(materialise(cleaned, f"{spec.name}-cleaned"), spec)
+        with job_tables(spark, spec.name):
+            grid = materialise(parse_lines(lines, width), f"{spec.name}-arrivals")
+            cleaned = add_fingerprint(clean(grid, spec, width), spec.staging_columns)
+            load_fresh(materialise(cleaned, f"{spec.name}-cleaned"), spec)
 
     files = spark.readStream.option("pathGlobFilter", CSV_FILES).option("maxFilesPerTrigger", files_at_once)
     query = (

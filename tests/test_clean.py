@@ -118,8 +118,8 @@ def test_nearly_empty_wanted_column(spark, filled, fine):
 
 
 def test_no_quarter_in_the_name(spark):
-    got = clean(as_grid(spark, {"X_1999.csv": sheet(A1, authorities(A1, number))}), A1)
-    assert {r["quarter_ending"] for r in got.collect()} == {None}
+    with pytest.raises(Exception, match="tab_a1: no quarter in the name of X_1999.csv"):
+        clean(as_grid(spark, {"X_1999.csv": sheet(A1, authorities(A1, number))}), A1)
 
 
 def test_sheet_wider_than_allowed(spark):

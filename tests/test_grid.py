@@ -63,3 +63,35 @@ def test_too_wide_a_line_is_an_error(spark, tmp_path):
     path = write_csv(tmp_path, "w_202403.csv", [["a", "b", "c"]])
     with pytest.raises(Exception, match="more than 2 cells"):
         read_grid(spark, path, width=2).collect()
+
+
+def test_cells_over_several_lines(spark, tmp_path):
+    text = 'h1,"Two\nlines, ""so"" said",h3\n1,2,3\n"a\n\nb",c,"d\n"\n'
+    (tmp_path / "m_202403.csv").write_text(text)
+    (tmp_path / "n_202406.csv").write_text("x,y\n")
+    got = [r["cells"] for r in read_grid(spark, str(tmp_path)).orderBy("file", "row_no").collect()]
+    assert [[c for c in row if c is not None] for row in got] == [
+        ["h1", 'Two\nlines, "so" said', "h3"], ["1", "2", "3"], ["a\n\nb", "c", "d\n"], ["x", "y"],
+    ]
+    (tmp_path / "o_202409.csv").write_text('a,"b\nc\n')
+    with pytest.raises(Exception, match="never closed in .*o_202409.csv"):
+        read_grid(spark, str(tmp_path)).collect()
+
+
+def test_any_width(spark, tmp_path):
+    write_csv(tmp_path, "w_202403.csv", [[str(i) for i in range(300)], ["," * 200, "x"]])
+    got = [r["cells"] for r in read_grid(spark, str(tmp_path)).orderBy("row_no").collect()]
+    assert got[0][:300] == [str(i) for i in range(300)] and got[1][:3] == ["," * 200, "x", None]
+
+
+def test_row_numbers_with_small_splits(spark, tmp_path):
+    write_csv(tmp_path, "s_202403.csv", [[str(i), "x" * 20] for i in range(20_000)])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64KB")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1KB")
+    try:
+        got = read_grid(spark, str(tmp_path)).orderBy("row_no").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert [r["cells"][0] for r in got] == [str(i) for i in range(20_000)]
+    assert len({r["row_no"] for r in got}) == 20_000

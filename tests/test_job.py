@@ -5,10 +5,8 @@ from pathlib import Path
 import pytest
 from sheets import authorities, sheet, write_csv
 
-from peerline.plans.clean import clean
 from peerline.plans.job import duplicate_keys, run_all, run_table
 from peerline.plans.publish import append_rows
-from peerline.sources.grid import read_workbooks
 from peerline.specs import SPECS
 from peerline.streaming.incremental import load_arrivals
 
@@ -120,18 +118,30 @@ def test_all_tables_side_by_side(spark, tmp_path, clean_catalog):
     assert header == [*SPECS["tab_a1"].staging_columns, "delta_id"] and len(cleaned) == 36
 
 
-def test_workbooks_are_decoded_file_by_file(spark, tmp_path):
-    spec = SPECS["tab_a1"]
-    for name in ("a_202403.xls", "b_202406.xlsx", "c_202409.txt"):
-        write_csv(tmp_path, name, sheet(spec, authorities(spec, lambda k, j: str(k + j))))
+def working_tables(spark):
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    return sorted(p.name for p in folder.glob("tab_*")) if folder.exists() else []
 
-    def decode(content, sheet):
-        assert sheet == "A1"
-        lines = csv.reader(content.decode("utf8").splitlines())
-        return [[c or None for c in line] for line in lines]
 
-    got = clean(read_workbooks(spark, str(tmp_path), "A1", decode=decode), spec)
-    assert {(r[0], r[1]) for r in got.groupBy("quarter_ending").count().collect()} == {(202403, 36), (202406, 36)}
+def test_the_same_target_again(spark, tmp_path, clean_catalog):
+    spec = SPECS["tab_r1"]
+    source, target = tmp_path / "in", tmp_path / "out"
+    left = working_tables(spark)
+    put(source, spec, 202403)
+    run_table(spark, spec, str(source), str(target))
+    put(source, spec, 202406)
+    (source / "R1" / "Detailed_LA_202403.csv").unlink()
+    report = run_table(spark, spec, str(source), str(target))
+    assert (report.fresh, report.redundant) == (36, 36)
+    assert {r[0] for r in spark.table("staging.tab_r1").select("quarter_ending").distinct().collect()} == {202403, 202406}
+    assert {r[0] for r in spark.table(f"public.{spec.summary}").select("quarter_ending").collect()} == {202403, 202406}
+    assert {r["quarter_ending"] for r in read_csv(target / f"{spec.summary_file}.csv")[1]} == {"202403", "202406"}
+    assert {r["quarter_ending"] for r in read_csv(target / "tab_r1_cleaned.csv")[1]} == {"202406"}
+    assert {r["quarter_ending"] for r in read_csv(target / "tab_r1_redundant.csv")[1]} == {"202403"}
+    write_csv(source / "R1", "broken_202409.csv", [["title"], ["header"], ["x"]])
+    with pytest.raises(Exception, match="no header"):
+        run_table(spark, spec, str(source), str(target))
+    assert working_tables(spark) == left  # dropped after success and after failure
 
 
 def test_arriving_files_are_loaded_once(spark, tmp_path, clean_catalog):

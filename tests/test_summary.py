@@ -1,4 +1,5 @@
 import random
+from dataclasses import replace
 from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
@@ -168,7 +169,10 @@ def test_spec_names():
     assert "perc_bnb_ta_with_children_exceeding_6wks_awaiting_review_or_app" in names
     assert {"pdo_from_family_or_friend_terminations", "perc_pdo_from_family_friend_terminations"} <= names
     assert "perc_children_headcount_in_ta" not in names
-    assert max(map(len, names)) == 63
+    long = {f"h{i}": "x" * 58 + str(i) for i in range(2)}
+    assert len({m.ratio_label for m in build_measures(long | {"t": "total"}, "total")} - {None}) == 2
+    with pytest.raises(ValueError, match="used twice"):
+        replace(SPECS["tab_a1"], measures=SPECS["tab_a1"].measures * 2)
 
 
 def test_summary_shuffles_once_and_scans_once(spark, tmp_path):
