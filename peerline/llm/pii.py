@@ -131,17 +131,13 @@ def luhn_sum(digits: Column) -> Column:
 
 
 def _card(m: Column, key: str) -> Column:
-    """The first digit stays. A number whose check digit is right gets a right one again."""
+    """The first digit stays. The last one stays as far from the right check digit as it was, so right numbers stay right."""
 
     def of(d: Column) -> Column:
         n = F.char_length(d)
-        first = F.substr(d, F.lit(1), F.lit(1))
-        body = F.concat(first, permute_text(F.substr(d, F.lit(2), n - 2), "card", key))
-        checked = let(
-            body, lambda b: F.concat(b, ((10 - luhn_sum(F.concat(b, F.lit("0"))) % 10) % 10).cast("string"))
-        )
-        plain = F.concat(first, permute_text(F.substr(d, F.lit(2), n - 1), "account", key))
-        return F.when(luhn_sum(d) % 10 == 0, checked).otherwise(plain)
+        body = F.concat(F.substr(d, F.lit(1), F.lit(1)), permute_text(F.substr(d, F.lit(2), n - 2), "card", key))
+        off = luhn_sum(d) % 10
+        return let(body, lambda b: F.concat(b, ((10 + off - luhn_sum(F.concat(b, F.lit("0"))) % 10) % 10).cast("string")))
 
     return refill(m, let(_digits(m), of))
 
@@ -269,7 +265,7 @@ def pseudonymise(docs: DataFrame, key: str = KEY, text: str = "text", kinds: tup
     One row-wise projection, no shuffle. Texts without a digit and without an @ pass
     untouched, as do null and empty texts (nothing found). Matches are taken from
     left to right without overlap. A value that only looks like its kind (a wrong IBAN, the 31st of February)
-    stays as it is; a long number with a wrong check digit counts as an account number. Columns of
+    stays as it is; a long number with a wrong check digit counts as an account number and gets a wrong one again. Columns of
     `docs` that carry a name added here give way.
     """
     any_kind = "|".join(f"(?:{k.pattern})" for k in kinds)
