@@ -95,35 +95,26 @@ def with_prefix_sums(df: DataFrame, groups: list[str], order: list[str], value:
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for edges (a, b): the smallest node that each one is linked to.
 
-    Every round takes the smallest label among a node and its neighbours, then follows
-    that label one step, so long chains halve. Each round is written; the labels
-    only fall, so their sum tells when nothing moves any more.
+    Every round takes the smallest of a node's label, its neighbours' labels and the label of the node it points to,
+    so long chains halve. Each round is written; labels only fall, so their sum tells when nothing moves any more.
     """
-    both = materialise(
-        edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).distinct(), "links"
-    )
+    both = materialise(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).distinct(), "links")
     labels = materialise(
-        both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b")).select(
-            "node", F.least("node", "b").alias("component")
-        ),
+        both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b")).select("node", F.least("node", "b").alias("component")),
         "labels",
     )
+    total = F.sum(F.col("component").cast("decimal(38,0)"))
+    before = labels.agg(total).first()[0]
     while True:
         offered = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("component").alias("offer"))
-        lower = labels.join(offered, labels["node"] == offered["a"], "left").select(
-            "node", F.least("component", F.coalesce("offer", "component")).alias("component")
-        )
-        lower = materialise(lower, "labels")
-        heads = lower.select(F.col("node").alias("head"), F.col("component").alias("further"))
-        followed = materialise(
-            lower.join(heads, lower["component"] == heads["head"], "left").select(
-                "node", F.least("component", F.coalesce("further", "component")).alias("component")
-            ),
+        heads = labels.select(F.col("node").alias("head"), F.col("component").alias("further"))
+        labels = materialise(
+            labels.join(heads, F.col("component") == F.col("head"))
+            .join(offered, F.col("node") == F.col("a"))
+            .select("node", F.least("component", "further", "offer").alias("component")),
             "labels",
         )
-        changed = followed.join(labels.withColumnRenamed("component", "old"), "node").filter(
-            F.col("component") != F.col("old")
-        )
-        labels = followed
-        if changed.isEmpty():
+        now = labels.agg(total).first()[0]
+        if now == before:
             return labels
+        before = now
