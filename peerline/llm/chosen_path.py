@@ -397,7 +397,7 @@ def near_duplicates(docs: DataFrame, recall: float = RECALL) -> DataFrame:
         (F.col("links") + F.col("copies") - 1).alias("n_links"),
         (F.col("copies") - 1).alias("n_copies"),
     )
-    blank = docs.select("doc_id", F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]")).alias("_n")).filter("_n = 0")
+    blank = docs.filter(F.btrim(F.coalesce("text", F.lit("")), F.lit(" \t\n\x0b\x0c\r")) == "")
     return placed.unionByName(
         blank.select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(0).cast("long").alias("n_copies"))
     )
