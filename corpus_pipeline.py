@@ -48,7 +48,7 @@ STAGES = [
     ("mixture", mixture),
     ("token_ids", token_ids),
 ]
-ORACLE_SQL = None  # hashed shingles, keyed digests and token ids have no SQL form; tests/llm compares with brute force
+ORACLE_SQL = None  # hashed shingles, keyed digests and token ids have no SQL form
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
