@@ -58,7 +58,8 @@ def repeat_words(ws: Column, size: int = WINDOW) -> Column:
     Windows are compared by a 64-bit hash that is chained word by word. Texts without
     an equal pair stop at the distinct count; the others sort (hash, start).
     """
-    hashes = F.when(F.size(ws) >= size, window_hashes(ws, size)).otherwise(F.array().cast("array<bigint>"))
+    # The words are bound: a filter on the verdict is pushed below the projection that splits them.
+    hashes = let(ws, lambda w: F.when(F.size(w) >= size, window_hashes(w, size)).otherwise(F.array().cast("array<bigint>")))
 
     def covered(h: Column) -> Column:
         def of(s: Column) -> Column:
