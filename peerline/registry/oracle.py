@@ -153,6 +153,19 @@ _SHEETS = f"""SELECT 'E' || o_custkey AS system_id, 'Customer ' || o_custkey AS
     SELECT DISTINCT 'E92000001', 'ENGLAND', 100, 90, 50, 40, 25.5::DOUBLE,
         CAST({_quarter('o_orderdate')} + 2500 AS INTEGER), 0 FROM orders"""
 
+
+
+def _cleaned(table: str) -> str:
+    """Sheets in which measure k counts the orders whose key leaves k, and the national total."""
+    columns = SPECS[table].measure_columns
+    n, quarter = len(columns), f"CAST({_quarter('o_orderdate')} + 2500 AS INTEGER)"
+    counts = ", ".join(f"nullif(count(*) FILTER (WHERE o_orderkey % {n} = {k}), 0) AS {c}" for k, c in enumerate(columns))
+    totals = ", ".join(str(1000 + k) for k in range(n))
+    return f"""SELECT 'E' || o_custkey AS system_id, 'Customer ' || o_custkey AS local_authority, {counts},
+        {quarter} AS quarter_ending, 0 AS is_neighbouring_la FROM orders GROUP BY o_custkey, {_quarter('o_orderdate')}
+        UNION ALL SELECT DISTINCT 'E92000001', 'ENGLAND', {totals}, {quarter}, 0 FROM orders"""
+
+
 ORACLE: dict[str, str] = {
     "peer_benchmark_assessment": _benchmark("tab_a1"),
     "peer_benchmark_prevention": _benchmark("tab_a2p"),
@@ -244,6 +257,12 @@ ORACLE: dict[str, str] = {
         for c in ("o_orderkey", "system_id", "priority", "status", "remark")
     ),
     "clean_sheets": _SHEETS,
+    "clean_prevention": _cleaned("tab_a2p"),
+    "clean_relief": _cleaned("tab_a2r"),
+    "clean_ended_prevention": _cleaned("tab_p1"),
+    "clean_ended_relief": _cleaned("tab_r1"),
+    "clean_accommodation": _cleaned("tab_ta1"),
+    "clean_composition": _cleaned("tab_ta2"),
     "csv_export": _ORDER_ROWS,
     "grid_scan": f"""SELECT * REPLACE (CASE WHEN o_orderkey % 7 = 0
         THEN concat('first "line",', chr(10), chr(10), 'last of ', priority) ELSE priority END AS priority) FROM ({_ORDER_ROWS})""",

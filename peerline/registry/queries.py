@@ -45,7 +45,7 @@ from peerline.plans.summary import peer_summary, peer_summary_stepwise
 from peerline.session import materialise, new_folder
 from peerline.sources.grid import list_sources, read_grid
 from peerline.sources.tables import create_staging, read_summary
-from peerline.specs import PEER_FLAG, QUARTER, SPECS
+from peerline.specs import PEER_FLAG, QUARTER, SPECS, TableSpec
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -438,6 +438,50 @@ def clean_sheets(spark: SparkSession, folder: str) -> DataFrame:
     return _as_double(cleaned, "households_in_area_000s")
 
 
+def _header_places(spec: TableSpec) -> list[int]:
+    """Column of each wanted header in a sheet: unnamed ones where their number says, the others in the gaps from the right."""
+    fixed = {int(h.removeprefix("Unnamed: ")) for h in spec.headers if h.startswith("Unnamed: ")}
+    named = [h for h in spec.headers if not h.startswith("Unnamed: ")]
+    gaps = [i for i in range(2, 2 + len(named) + len(fixed)) if i not in fixed][: len(named)]
+    place = dict(zip(named, reversed(gaps)))
+    return [place[h] if h in place else int(h.removeprefix("Unnamed: ")) for h in spec.headers]
+
+
+def _counts_grid(spark: SparkSession, folder: str, spec: TableSpec) -> DataFrame:
+    """One sheet per quarter: a row per customer who ordered, there twice; measure k counts the orders whose key leaves k."""
+    n, places = len(spec.measures), _header_places(spec)
+    width = max(places) + 1
+    whole = [F.count_if(F.col("o_orderkey") % n == k).alias(f"n{k}") for k in range(n)]
+    rows = _order_quarters(spark, folder).groupBy("o_custkey", QUARTER).agg(*whole)
+    file = F.concat(F.lit("Detailed_LA_"), (F.col(QUARTER) + 2500).cast("string"), F.lit(".csv")).alias("file")
+
+    def line(values: list[Column]) -> Column:
+        cells = dict(zip(places, values))
+        return F.array(*(cells.get(i, F.lit(None).cast("string")) for i in range(width)))
+
+    key = F.col("o_custkey")
+    ids = [F.concat(F.lit("E"), key.cast("string")), F.concat(F.lit("Customer "), key.cast("string"))]
+    counts = [F.when(F.col(f"n{k}") > 0, F.col(f"n{k}").cast("string")).otherwise(F.lit("..")) for k in range(n)]
+    body = rows.select(file, key, line(ids + counts).alias("cells"), F.explode(F.array(F.lit(0), F.lit(1))).alias("copy"))
+    body = body.select("file", (key * 2 + F.col("copy") + _SHEET_ROWS_ABOVE).cast("bigint").alias("row_no"), "cells")
+    names = [F.lit(h) if not h.startswith("Unnamed: ") else F.lit(None).cast("string") for h in spec.headers]
+    totals = [F.lit("E92000001"), F.lit(spec.anchor), *(F.lit(str(1000 + k)) for k in range(n))]
+    top = [line([F.lit("Table"), *[F.lit(None).cast("string")] * (n + 1)]), line(names), line([F.lit(None).cast("string")] * (n + 2)), line(totals)]
+    lines = F.array(*(F.struct(F.lit(i).cast("bigint").alias("row_no"), cells.alias("cells")) for i, cells in enumerate(top)))
+    head = rows.select(file).distinct().select("file", F.inline(lines))
+    return body.unionByName(head)
+
+
+def _clean_counts(table: str) -> Query:
+    """The cleaner by the headers of one table."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        spec = SPECS[table]
+        return clean(materialise(_counts_grid(spark, folder, spec), "sheets"), spec)
+
+    return query
+
+
 # --- round trips through files ----------------------------------------------
 
 
@@ -544,6 +588,7 @@ QUERIES: dict[str, Query] = {
     "rows_per_quarter": quarter_counts,
     "non_null_profile": non_null_profile,
     "clean_sheets": clean_sheets,
+    **{name.replace("peer_benchmark", "clean"): _clean_counts(table) for name, (table, _) in FACTS.items() if table != "tab_a1"},
     "csv_export": csv_export,
     "grid_scan": grid_scan,
     "source_listing": source_listing,
