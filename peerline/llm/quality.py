@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -102,15 +103,38 @@ def measures(text: Column, ws: Column) -> dict[str, Column]:
     }
 
 
-def failed(rule: Rule) -> Column:
+def failed(rule: Rule, measure: Callable[[str], Column] = F.col) -> Column:
     """Whether a row breaks the rule; a ratio over nothing breaks no rule."""
-    whole = F.lit(1) if rule.whole is None else F.col(rule.whole)
-    part, broken = F.col(rule.part), F.lit(False)
+    whole = F.lit(1) if rule.whole is None else measure(rule.whole)
+    part, broken = measure(rule.part), F.lit(False)
     if rule.low is not None:
         broken = broken | (part < F.lit(rule.low) * whole)
     if rule.high is not None:
         broken = broken | (part > F.lit(rule.high) * whole)
-    return broken & (F.col("n_words") >= rule.least_words)
+    return broken & (measure("n_words") >= rule.least_words)
+
+
+def base_failed(measure: Callable[[str], Column] = F.col) -> Column:
+    """Whether a row has too few words or too many repeated ones."""
+    return (measure("n_words") < 20) | (100 * measure("n_repeat_words") > 30 * measure("n_words"))
+
+
+def passes(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
+    """Whether a text passes, as one condition that binds the words and every measure.
+
+    A filter gets its condition with all columns written out, so what several rules speak of would be measured again for each.
+    """
+
+    def judged(m: Column) -> Column:
+        broken = base_failed(m.getField)
+        for rule in rules:
+            broken = broken | failed(rule, m.getField)
+        return ~broken
+
+    def measured(t: Column) -> Column:
+        return let(words(t), lambda ws: let(F.struct(*[x.alias(n) for n, x in measures(t, ws).items()]), judged))
+
+    return let(F.coalesce(text, F.lit("")), measured)
 
 
 def assess(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
@@ -126,14 +150,11 @@ def assess(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text")
     measured = free.withColumn("_text", body).withColumn("_words", words(F.col("_text")))
     measured = measured.withColumns(measures(F.col("_text"), F.col("_words"))).drop("_text", "_words")
     verdicts = F.array(*[F.when(failed(r), F.lit(r.name)) for r in rules])
-    base = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return measured.withColumns(
-        {"failed_rules": F.filter(verdicts, lambda r: r.isNotNull()), "base_failed": base}
+        {"failed_rules": F.filter(verdicts, lambda r: r.isNotNull()), "base_failed": base_failed()}
     ).withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))
 
 
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The documents that pass, with the columns they came with."""
-    mark = "_kept_"
-    judged = assess(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "text"), rules)
-    return judged.withColumnRenamed("kept", mark).filter(mark).select("_row.*")
+    return docs.filter(passes(F.col("text"), rules))
