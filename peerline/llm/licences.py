@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from peerline.llm.common import ascii_lower, let, run_lengths
 
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-RARE_WORDS = 24  # rare words that a file is looked up by
+RARE_WORDS = 24  # rare words that a template is looked up by, at least
 LEAST_SHARE = 0.75  # of a template's words that must stand at their places
 
 
@@ -139,10 +139,11 @@ def scan(
     score (double, the best share of a template's words standing at their places), places (template
     label, start, share of every notice verified).
 
-    The document frequency of every template word over all documents ranks the words. A file
-    is looked up by its `rare_words` rarest distinct template words, all their occurrences; postings
-    (template, place) turn each into a start of that template, and the starts that agree most
-    are read against the whole template. A notice counts if enough of its words stand
+    The document frequency of every template word over all documents ranks the words. Each template is
+    indexed by its `rare_words` rarest words, and by more places than a notice may lack. Every occurrence of
+    an indexed word in a file is looked up; postings (template, place) turn each into a start of that template. A
+    notice that counts lacks no more places than it may, so the starts that as many of the template's own postings agree on as
+    are left then hold every notice; they are read against the whole template. A notice counts if enough of its words stand
     at their places and each mandatory phrase is there in full. A null or empty text has no words and no
     licence, score 0; repeated rows are scanned alike; the templates bound everything that leaves the executors.
     """
@@ -154,45 +155,41 @@ def scan(
     # Each notice is indexed by its rarest words; the order is by IDF, ties by the word.
     ranked = sorted(vocabulary, key=lambda w: (-idf[w], w))
     rank = {w: i for i, w in enumerate(ranked)}
-    postings: dict[str, list[tuple[int, int]]] = {}
+    index: dict[str, list[tuple[int, int]]] = {}
+    least = []  # own postings that any notice that counts still has
     for t, notice in enumerate(notices):
-        for w in sorted(set(notice), key=rank.get)[:rare_words]:
-            postings.setdefault(w, []).extend((t, p) for p, x in enumerate(notice) if x == w)
-    # A word held by one document in five or more leads nowhere by itself, unless a notice has no rarer one.
-    common = {w for w in postings if idf[w] < math.log(5)}
-    needed = {min(set(n), key=rank.get) for n in notices}
-    index = {w: p for w, p in postings.items() if w not in common or w in needed}
+        may_lack = max(k for k in range(len(notice) + 1) if (len(notice) - k) / len(notice) >= least_share)
+        posted_places = 0
+        for n, w in enumerate(sorted(set(notice), key=rank.get)):
+            # A word held by one document in five or more leads nowhere by itself, unless the rarer ones may all be lacking.
+            if posted_places > may_lack and (n >= rare_words or idf[w] < math.log(5)):
+                break
+            places = [p for p, x in enumerate(notice) if x == w]
+            index.setdefault(w, []).extend((t, p) for p in places)
+            posted_places += len(places)
+        least.append(max(1, posted_places - may_lack))
     listed = sorted(index, key=rank.get)
     posted = F.array(
         *[F.array(*[F.struct(F.lit(t).alias("t"), F.lit(p).alias("p")) for t, p in index[w]]) for w in listed]
     )
     names = F.array(*[F.lit(w) for w in listed])
 
-    def chosen(held: Column) -> Column:
-        """Starts (template, start) that the file's rarest licence words point to."""
-        rarest = F.slice(F.filter(names, lambda w: F.array_contains(held, w)), 1, rare_words)
-
-        def starts(hits: Column) -> Column:
-            return F.flatten(
-                F.transform(
-                    hits,
-                    lambda h: F.transform(
-                        F.element_at(posted, F.array_position(names, h["w"]).cast("int")),
-                        lambda p: F.struct(p["t"].alias("t"), (h["i"] - p["p"]).alias("s")),
-                    ),
-                )
-            )
-
-        def hits(keep: Column) -> Column:
-            marked = F.transform(
-                F.col("_ws"),
-                lambda w, i: F.when(w.isin(listed) & F.array_contains(keep, w), F.struct(i.alias("i"), w.alias("w"))),
+    def starts(hits: Column) -> Column:
+        """Starts (template, start) that the file's indexed words point to."""
+        return F.flatten(
+            F.transform(
+                hits,
+                lambda h: F.transform(
+                    F.element_at(posted, F.array_position(names, h["w"]).cast("int")),
+                    lambda p: F.struct(p["t"].alias("t"), (h["i"] - p["p"]).alias("s")),
+                ),
             )
-            return F.filter(marked, lambda h: h.isNotNull())
+        )
 
-        return let(rarest, lambda keep: F.sort_array(starts(hits(keep))))
-
-    held = F.array_distinct(F.filter(F.col("_ws"), lambda w: w.isin(listed)))
+    marked = F.transform(
+        F.col("_ws"), lambda w, i: F.when(w.isin(listed), F.struct(i.alias("i"), w.alias("w")))
+    )
+    hits = F.filter(marked, lambda h: h.isNotNull())
     lengths = F.array(*[F.lit(len(n)) for n in notices])
     texts = _literal_lists(notices)
     phrases = F.array(*[_literal_lists([_words_of(p) for p in t.phrases]) for t in templates])
@@ -220,10 +217,9 @@ def scan(
 
         return let(piece, judge)
 
-    found = F.when(F.size(held) > 0, let(held, chosen))
-    # A start is worth reading if enough of the notice's own index words point to it.
-    own = F.array(*[F.lit(sum(1 for w in n if w in index)) for n in notices])
-    agreeing = F.filter(run_lengths(F.col("_starts")), lambda e: 2 * e["count"] >= F.get(own, e["value"]["t"]))
+    found = F.sort_array(starts(hits))
+    needed = F.array(*[F.lit(k) for k in least])
+    agreeing = F.filter(run_lengths(F.col("_starts")), lambda e: e["count"] >= F.get(needed, e["value"]["t"]))
     staged = tokenised.withColumn("_starts", found)
     staged = staged.withColumn("_base", F.when(F.size("_ws") > 1, base_places(F.col("_ws"))))
     staged = staged.withColumn(

@@ -281,6 +281,35 @@ def test_licences(spark, documents, awkward):
     assert licences.scan(docs.limit(0)).count() == 0
 
 
+def test_licences_in_texts_with_many_template_words(spark):
+    notices = [t.text for t in licences.TEMPLATES]
+    every = " ".join(sorted({w for n in notices for w in n.split()}))
+    rows = [(1, " xx ".join(notices)), (2, " xx ".join(n for t, n in zip(licences.TEMPLATES, notices) if t.label in ("mit", "apache", "bsd")))]
+    rows += [(10 + i, f"{every} xx {n} xx {every}") for i, n in enumerate(notices)]
+    rows += [(30 + i, f"{notices[1]} xx {n}") for i, n in enumerate(notices)]
+    rows += [(100 + i, "nothing to see") for i in range(200)]
+    altered = notices[1].split()
+    for i in range(0, len(altered) // 4):  # as many as may be lacking, those of no phrase
+        altered[7 + i if 7 + i < 22 else 25 + i] = "other"
+    rows.append((50, " ".join(altered)))
+    got = {r.doc_id: r for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+
+    def brute(text):
+        ws, out = text.split(), set()
+        for t in licences.TEMPLATES:
+            n = t.text.split()
+            for s in range(1 - len(n), len(ws)):
+                piece = ws[max(s, 0) : s + len(n)]
+                same = sum(0 <= s + i < len(ws) and ws[s + i] == w for i, w in enumerate(n))
+                if same / len(n) >= 0.75 and all(f" {p} " in f" {' '.join(piece)} " for p in t.phrases):
+                    out.add((t.label, s, same / len(n)))
+        return out
+
+    for d, text in rows:
+        assert {(p.label, p.start, p.share) for p in got[d].places} == brute(text), d
+    assert len(got[1].places) >= len(notices)
+
+
 # --- top-k ------------------------------------------------------------------
 
 
