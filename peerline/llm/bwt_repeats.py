@@ -12,6 +12,7 @@ common prefix is shorter than 40 r bytes, so the uncut runs after five rounds ar
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +31,9 @@ SYMBOL = 40  # bytes of a symbol of the transforms
 SLICE = 1_000_000  # bytes that a task cuts at a time
 BUCKET = 1_500_000  # bytes of segments merged in one group
 SHARD = 400_000  # bytes of segments sorted as one shard
-CROWD = 2048  # different segments under a key beyond which it is split by a second key
+CROWD = 2048  # different segments under a key beyond which it is split by a further key
+FALL = 0.75  # share of the crowded windows that a further key must not leave, or they go by their exact hash
+FEW = 1_000_000  # crowded windows that go by their exact hash at once
 BASE = np.uint64(0x9E3779B97F4A7C15)  # odd
 
 
@@ -298,12 +301,46 @@ def _settled(found: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     contents = materialise(contents, f"{name}-contents")
     twice = contents.filter("weight > 1").select("key", "content")
     whole = met.join(twice, ["key", "content"]).select("id", "first", "last")
-    keys = contents.groupBy("key").agg(F.count("*").alias("contents"), F.max("times").alias("most"))
-    keys = keys.filter((F.col("contents") > 1) | (F.col("most") > 1)).select("key", "contents")
-    going = contents.join(keys, "key").select("key", "weight", "contents", "one.id", "one.first", "one.last")
+    room = F.sum(F.col("one.last") - F.col("one.first") + LENGTH)
+    keys = contents.groupBy("key").agg(F.count("*").alias("contents"), F.max("times").alias("most"), room.alias("room"))
+    keys = keys.filter((F.col("contents") > 1) | (F.col("most") > 1)).select(
+        "key", ((F.col("contents") > CROWD) | (F.col("room") > BUCKET)).alias("crowded")
+    )
+    going = contents.join(keys, "key").select("key", "weight", "crowded", "one.id", "one.first", "one.last")
     return whole, materialise(going, f"{name}-going")
 
 
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, place, weight, hash) of every window of segments (id, bytes, at, weight, key)."""
+    for batch in batches:
+        for a, b in slices(batch.column(1)):
+            data, sizes = binary(batch.column(1).slice(a, b - a))
+            ids, at, weight, key = (batch.column(c).slice(a, b - a).to_numpy(zero_copy_only=False) for c in (0, 2, 3, 4))
+            counts = sizes - LENGTH + 1
+            owner = np.repeat(np.arange(len(sizes)), counts)
+            place = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+            hashes = Rolling(data).every(LENGTH)[(np.cumsum(sizes) - sizes)[owner] + place]
+            hashes = mixed(hashes ^ key.view(np.uint64)[owner])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids[owner]), pa.array(at[owner] + place), pa.array(weight[owner]), pa.array(hashes.view(np.int64))],
+                names=["id", "place", "weight", "hash"],
+            )
+
+
+def _by_window(own: DataFrame) -> DataFrame:
+    """Byte ranges (id, lo, hi) of the windows of crowded segments that repeat, met by their exact hash over all tasks."""
+    every = own.select("id", "bytes", F.col("at").cast("long"), "weight", "key").mapInArrow(
+        _windows, "id long, place long, weight long, hash long"
+    )
+    every = materialise(every, "windows")
+    often = materialise(every.groupBy("hash").agg(F.sum("weight").alias("_n")).filter("_n > 1").select("hash"), "often")
+    # Neighbouring places become one range; cut, so that no list grows with a text.
+    listed = every.join(often, "hash").groupBy("id", F.expr(f"place div {BUCKET // 100}")).agg(F.sort_array(F.collect_set("place")).alias("at"))
+    edges = lambda step: F.filter("at", lambda p, i: F.coalesce(F.get("at", i + step) != p + step, F.lit(True)))
+    ends = listed.select("id", F.explode(F.arrays_zip(edges(-1).alias("lo"), edges(1).alias("hi"))).alias("r"))
+    return ends.select("id", F.col("r.lo").alias("lo"), (F.col("r.hi") + LENGTH).alias("hi"))
+
+
 def without_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept (the bytes left, null where nothing was taken out).
 
@@ -311,19 +348,21 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     nothing. Rows alike in doc_id and text repeat each other, as any two equal texts do. Equality is that of 64-bit hashes of
     the segments and of the five symbols in a row.
 
-    A key with more than `CROWD` different segments, as a passage shared by many documents has at its edges, is cut
-    again by a second, independent key, so its segments spread. A text's ranges are gathered per document.
+    A key with more than `CROWD` different segments, as a passage shared by many documents has at its edges, or with more
+    than `BUCKET` bytes of them, is cut again by further, independent keys for as long as they leave clearly fewer windows
+    in crowds; the windows that no key divides meet by their exact hash. So no group outgrows these bounds, however many
+    documents share a passage. A text's ranges are gathered per document.
     """
     rows = docs.select(F.xxhash64("doc_id", "text").alias("id"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
     found = materialise(cut(rows.select("id", "text")), "segments").withColumn("weight", F.lit(1).cast("long"))
     whole, going = _settled(found, "first")
-    asked = going.groupBy("id").agg(F.collect_list(F.struct("key", "weight", "contents", "first", "last")).alias("asked"))
+    asked = going.groupBy("id").agg(F.collect_list(F.struct("key", "weight", "crowded", "first", "last")).alias("asked"))
     touched = whole.select("id").union(going.select("id")).distinct().join(asked, "id", "left")
     held = materialise(rows.select("id", "text").join(touched, "id"), "held")
 
     def piece(data, s):
         return F.struct(
-            s["key"].alias("key"), s["weight"].alias("weight"), s["contents"].alias("contents"), s["first"].alias("at"),
+            s["key"].alias("key"), s["weight"].alias("weight"), s["crowded"].alias("crowded"), s["first"].alias("at"),
             F.substr(data, s["first"] + 1, s["last"] - s["first"] + LENGTH).alias("bytes"),
         )
 
@@ -332,27 +371,35 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     )
     pieces = materialise(pieces.select("id", "p.*").distinct(), "pieces")
     ranges = whole.select("id", F.col("first").cast("long").alias("lo"), (F.col("last") + LENGTH).cast("long").alias("hi"))
-    plain = pieces.filter(F.col("contents") <= CROWD).select("key", "id", "at", "weight", "bytes")
-    crowded = pieces.filter(F.col("contents") > CROWD)
-    if not crowded.isEmpty():
+    plain = pieces.filter("not crowded").select("key", "id", "at", "weight", "bytes")
+    crowded = pieces.filter("crowded")
+    salt, before = 0, math.inf
+    while not crowded.isEmpty():
         own = materialise(
             crowded.select(F.monotonically_increasing_id().alias("row"), "key", "id", "at", "weight", "bytes"), "crowded"
         )
-        inner = cut(own.select("row", "bytes"), salt=1).withColumnRenamed("id", "row")
-        inner = inner.join(own.select("row", F.col("key").alias("under"), "weight", F.col("id").alias("doc"), "at"), "row").select(
+        windows = own.agg(F.sum(F.octet_length("bytes") - LENGTH + 1)).first()[0]
+        if windows <= FEW or windows > FALL * before:
+            ranges = ranges.union(_by_window(own))
+            break
+        salt, before = salt + 1, windows
+        inner = cut(own.select("row", "bytes"), salt=salt).withColumnRenamed("id", "row")
+        inner = inner.join(own.select("row", F.col("key").alias("under"), "weight"), "row").select(
             F.col("row").alias("id"), "first", "last", "times", "weight", F.xxhash64("under", "key").alias("key"), "content"
         )
-        inner_whole, inner_going = _settled(materialise(inner, "second"), "second")
+        inner_whole, inner_going = _settled(materialise(inner, "further"), "further")
         back = own.select(F.col("row").alias("_row"), F.col("id").alias("_doc"), "at", "bytes")
         placed = inner_whole.join(back.drop("bytes"), F.col("id") == F.col("_row"))
         ranges = ranges.union(
             placed.select(F.col("_doc"), (F.col("at") + F.col("first")).cast("long"), (F.col("at") + F.col("last") + LENGTH).cast("long"))
         )
         cut_again = inner_going.join(back, F.col("id") == F.col("_row")).select(
-            "key", F.col("_doc").alias("id"), (F.col("at") + F.col("first")).alias("at"), "weight",
+            "key", F.col("_doc").alias("id"), (F.col("at") + F.col("first")).alias("at"), "weight", "crowded",
             F.substr("bytes", F.col("first") + 1, F.col("last") - F.col("first") + LENGTH).alias("bytes"),
         )
-        plain = plain.union(cut_again)
+        cut_again = materialise(cut_again, "pieces")
+        plain = plain.union(cut_again.filter("not crowded").drop("crowded"))
+        crowded = cut_again.filter("crowded")
     plain = materialise(plain, "merging")
     size = plain.agg(F.coalesce(F.sum(F.octet_length("bytes")), F.lit(0))).first()[0]
     buckets = 1 + size // BUCKET

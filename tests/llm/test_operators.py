@@ -362,3 +362,40 @@ def test_repeats(spark, awkward, monkeypatch, crowd):
     got = collections.Counter(map(tuple, bwt_repeats.without_repeats(docs).drop("kept").collect()))
     assert got == brute_repeats(texts(docs))
     assert bwt_repeats.without_repeats(docs.limit(0)).count() == 0
+
+
+@pytest.fixture
+def merging(monkeypatch):
+    """The tables that the operator writes before it merges, and whether it cut crowds by further keys."""
+    written, write = {}, bwt_repeats.materialise
+
+    def watched(df, name):
+        written[name] = write(df, name)
+        return written[name]
+
+    monkeypatch.setattr(bwt_repeats, "materialise", watched)
+    return written
+
+
+@pytest.mark.parametrize("few", [0, 10**9])
+def test_repeats_in_crowds_stay_in_small_groups(spark, monkeypatch, merging, few):
+    monkeypatch.setattr(bwt_repeats, "CROWD", 5)
+    monkeypatch.setattr(bwt_repeats, "FEW", few, raising=False)
+    random.seed(4)
+    noise = lambda n: "".join(random.choice("abcdefgh ") for _ in range(n))
+    passage = noise(400)
+    rows = [(i, noise(120) + passage + noise(120)) for i in range(3000)] + [(9000, "a" * 3000), (9001, passage), (9001, passage)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    got = collections.Counter(map(tuple, bwt_repeats.without_repeats(docs).drop("kept").collect()))
+    assert got == brute_repeats(texts(docs))
+    assert (merging["merging"].groupBy("key").count().agg(F.max("count")).first()[0] or 0) <= 5
+    assert ("further" in merging) == (few == 0)
+
+
+def test_a_long_periodic_text_is_not_merged_in_one_group(spark, monkeypatch, merging):
+    monkeypatch.setattr(bwt_repeats, "BUCKET", 2000)
+    docs = spark.createDataFrame([(1, "ab" * 20_000), (2, "x" * 300 + "ab" * 200), (3, "c" * 5000)], "doc_id long, text string")
+    got = collections.Counter(map(tuple, bwt_repeats.without_repeats(docs).drop("kept").collect()))
+    assert got == brute_repeats(texts(docs))
+    sizes = merging["merging"].groupBy("key").agg(F.sum(F.octet_length("bytes")).alias("n"))
+    assert (sizes.agg(F.max("n")).first()[0] or 0) <= 2000
