@@ -27,9 +27,8 @@ def op2_pieces(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_preferences(spark: SparkSession, folder: str) -> DataFrame:
-    """Conversations paired by their first turn, prompt once, completions with masks."""
-    turns = table(spark, folder, "conversations")
-    return preferences.format_preferences(turns, preferences.pair_by_opening(preferences.clean_turns(turns)))
+    """Every conversation's last reply against another conversation's, prompt once, completions with masks."""
+    return preferences.reply_preferences(table(spark, folder, "conversations"))
 
 
 def op4_mixture(spark: SparkSession, folder: str) -> DataFrame:

@@ -123,6 +123,50 @@ def test_preferences(spark):
     assert preferences.format_preferences(none, preferences.pair_by_opening(none)).count() == 0
 
 
+def brute_replies(rows):
+    """pair_id: (prompt, chosen, masks of chosen, rejected), rejected as a set of possible texts."""
+    convs, out = {}, {}
+    for c, t, r, x in {x for x in rows if x[0] is not None and x[1] is not None}:
+        convs.setdefault(c, {}).setdefault(t, set()).add((r, x))
+    last = {c: max((t for t in ts if any(r == "assistant" for r, _ in ts[t])), default=None) for c, ts in convs.items()}
+    replies = {c: frozenset(convs[c][t]) for c, t in last.items() if t is not None}
+    for c, ts in convs.items():
+        others = {r for r in replies.values() if c in replies and r != replies[c]}
+        fork = last[c] if others else None
+        flat = lambda keep: sorted((t, *x) for t in ts if keep(t) for x in ts[t])  # noqa: B023, E731
+        out[c] = (flat(lambda t: fork is not None and t < fork), flat(lambda t: fork is None or t >= fork), others, fork)  # noqa: B023
+    return out
+
+
+@pytest.mark.parametrize("rows", ["table", "made"])
+def test_every_conversation_with_a_reply_has_a_rejected_one(spark, rows, tmp_path):
+    if rows == "table":
+        folder = FOLDER
+    else:
+        made = [(c, t, "user" if t % 2 == 0 else "assistant", f"{'same' if c < 40 else c} {t}") for c in range(60) for t in range(2 + c % 5)]
+        made += made[:30] + [(70, 0, "user", "no reply"), (71, 0, "assistant", "reply only"), (72, 0, "user", "q"), (72, 1, "assistant", "a"),
+                 (72, 1, "tool", "b"), (72, 2, None, None), (None, 0, "user", "x"), (73, None, "assistant", "x")]
+        folder = str(tmp_path)
+        spark.createDataFrame(made, "conv_id long, turn long, role string, text string").write.parquet(f"{folder}/conversations.parquet")
+    table = [tuple(r) for r in spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    want, parts = brute_replies(table), {}
+    show = lambda t, r, x: (t, f"<|{r or ''}|>\n{x or ''}<|end|>\n")
+    for r in queries.op3_preferences(spark, folder).collect():
+        parts.setdefault(r.pair_id, {}).setdefault(r.part, []).append((r.turn, r.rendered))
+        prompt, _, others, _ = want[r.pair_id]
+        assert r.paired == bool(others) and r.prefix_turns == len({t for t, *_ in prompt})
+        assert r.loss_mask == int(r.part != "prompt" and r.role == "assistant")
+        assert (r.conv_id == r.pair_id) == (r.part != "rejected")
+    assert set(parts) == set(want) and any("rejected" in p and "prompt" in p for p in parts.values())
+    for c, (prompt, chosen, others, fork) in want.items():
+        assert sorted(parts[c].get("prompt", [])) == sorted(show(*x) for x in prompt)
+        assert sorted(parts[c]["chosen"]) == sorted(show(*x) for x in chosen)
+        assert not others or sorted(parts[c]["rejected"]) in [sorted(show(fork, *x) for x in o) for o in others]
+        assert others or "rejected" not in parts[c]
+    none = spark.read.parquet(f"{folder}/conversations.parquet").limit(0)
+    assert preferences.reply_preferences(none).count() == 0
+
+
 # --- mixing -----------------------------------------------------------------
 
 
