@@ -90,7 +90,7 @@ def _names(s: np.ndarray) -> tuple[int, int]:
 
 
 def sampled(docs: DataFrame, sketch: int = SKETCH) -> DataFrame:
-    """(doc_id, x, y, n, near): two hashes that name the set, its size, and its sampled shingles. Texts without words are left out."""
+    """(doc_id, row, x, y, n, near): a hash that names the row, two that name the set, its size, and its sampled shingles. Texts without words are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -103,16 +103,22 @@ def sampled(docs: DataFrame, sketch: int = SKETCH) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(a, b - a).take(pa.array(held, pa.int64())),
+                        batch.column(2).slice(a, b - a).take(pa.array(held, pa.int64())),
                         pa.array([x for x, _ in named], pa.int64()),
                         pa.array([y for _, y in named], pa.int64()),
                         pa.array([len(sets[i]) for i in held], pa.int32()),
                         pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum([len(s) for s in near])]).astype(np.int32), flat.view(np.int64)),
                     ],
-                    names=["doc_id", "x", "y", "n", "near"],
+                    names=["doc_id", "row", "x", "y", "n", "near"],
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, x long, y long, n int, near array<bigint>")
+    return docs.select("doc_id", "text", _row()).mapInArrow(run, f"doc_id {kind}, row long, x long, y long, n int, near array<bigint>")
+
+
+def _row() -> Column:
+    """Names a row, with or without a doc_id: rows of one name have one text."""
+    return F.xxhash64("doc_id", "text").alias("row")
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,7 +244,7 @@ def near_duplicates(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     class_id is the smallest doc_id reached over links; n_links counts the other rows whose shingle
     set is similar enough, rows with the same set included; n_copies those with the same set alone. Rows with equal
     sets are joined first and stand for one set. A text of one to four words is one shingle; null, empty and blank texts have none and link
-    to nothing, as do rows without a doc_id as far as their class goes (it stays null).
+    to nothing. Rows without a doc_id link like all others, but name no class, and their own stays null.
 
     Whatever the size of a bucket, all of it is used: buckets over `SMALL` sets are split again, and those that
     stay large, as near copies of each other do, are compared block by block, where a pair belongs to one
@@ -247,10 +253,10 @@ def near_duplicates(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     spark = docs.sparkSession
     runs = runs_for(recall)
     marked = materialise(sampled(docs), "sampled")
-    # One row a set: an id, its copies and the smallest document.
+    # One row a set: an id, its copies, the smallest document, and a row whose text is read for it.
     sets = materialise(
         marked.groupBy("x", "y").agg(
-            F.min("doc_id").alias("doc"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("near").alias("near")
+            F.min("doc_id").alias("doc"), F.min("row").alias("row"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("near").alias("near")
         ).withColumn("set", F.monotonically_increasing_id()),
         "sets",
     )
@@ -331,10 +337,9 @@ def near_duplicates(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     needed = wanted.select("set")
     if in_large is not None:
         needed = needed.union(in_large.select("set"))
-    # The full sets of those that are to be read, from one document each.
-    of_doc = marked.join(sets.select("set", "x", "y", "doc", "copies"), ["x", "y"]).filter(F.col("doc_id") == F.col("doc"))
-    reading = needed.distinct().join(of_doc.select("set", "doc_id", "x", "copies"), "set")
-    texts = docs.select("doc_id", "text").join(reading, "doc_id").select("text", "set", "copies", "x")
+    # The full sets of those that are to be read, from one row each; a set may have no row with a doc_id.
+    reading = needed.distinct().join(sets.select("set", "row", "x", "copies"), "set")
+    texts = docs.select("text", _row()).join(reading, "row").select("text", "set", "copies", "x")
     full = texts.mapInArrow(_full_sets, "set long, copies long, s array<bigint>").groupBy("set").agg(
         F.first("s").alias("s"), F.first("copies").alias("copies")
     )
@@ -393,7 +398,7 @@ def near_duplicates(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     )
     placed = marked.select("doc_id", "x", "y").join(known, ["x", "y"]).select(
         "doc_id",
-        F.col("head").alias("class_id"),
+        F.when(F.col("doc_id").isNotNull(), F.col("head")).alias("class_id"),
         (F.col("links") + F.col("copies") - 1).alias("n_links"),
         (F.col("copies") - 1).alias("n_copies"),
     )

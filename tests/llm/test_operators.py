@@ -304,6 +304,26 @@ def test_near_duplicates_on_awkward_rows(awkward):
     assert chosen_path.near_duplicates(awkward.limit(0)).count() == 0
 
 
+def test_near_copies_without_a_doc_id(spark):
+    random.seed(5)
+    pick = lambda n: [f"w{random.randrange(2000)}" for _ in range(n)]
+
+    def near(base):
+        w = list(base)
+        w[random.randrange(len(w))] = random.choice(["other", "words"])
+        return " ".join(w)
+
+    few, many = pick(120), pick(120)
+    rows = [(10**6, near(few)), (1, " ".join(few)), (10**6 + 1, near(many))] + [(100 + i, near(many)) for i in range(150)]
+    want = brute_links(rows)
+    docs = spark.createDataFrame([(d if d < 10**6 else None, t) for d, t in rows], "doc_id long, text string")
+    got = chosen_path.near_duplicates(docs).collect()
+    assert {r.doc_id: (r.class_id, r.n_links) for r in got if r.doc_id is not None} == {d: w for d, w in want.items() if d < 10**6}
+    unnamed = sorted((r.class_id is None, r.n_links) for r in got if r.doc_id is None)
+    assert unnamed == sorted((True, want[d][1]) for d in (10**6, 10**6 + 1)) and unnamed[0][1] == 1
+    assert sum(r.doc_id is None for r in chosen_path.one_of_each(docs).collect()) == 2
+
+
 # --- licences ---------------------------------------------------------------
 
 
