@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -27,6 +30,23 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
 
 
+def arrow_batches(rows: Iterable[tuple], schema: pa.Schema, most: int = 1000, most_chars: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Rows as record batches of bounded size; a single row may be longer."""
+    held, size = [], 0
+
+    def batch() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
+
+    for row in rows:
+        held.append(row)
+        size += sum(len(v) for v in row if isinstance(v, str))
+        if len(held) >= most or size >= most_chars:
+            yield batch()
+            held, size = [], 0
+    if held:
+        yield batch()
+
+
 def let(value: Column, body) -> Column:
     """`body(value)` with `value` evaluated once, however often the body uses it."""
     return F.transform(F.array(value), body)[0]

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerline.llm import block_topk, bwt_repeats, chosen_path, licences, merkle, mixing, neural_lm, pieces, pii, preferences, quality
+from peerline.llm import block_topk, bwt_repeats, chosen_path, dialogue, licences, merkle, mixing, neural_lm, pieces, pii, preferences, quality, wrappers
 from peerline.llm.common import table
 
 MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
@@ -72,17 +72,27 @@ def op10_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return bwt_repeats.without_repeats(table(spark, folder, "documents")).drop("kept")
 
 
+def op11_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return wrappers.extract(table(spark, folder, "pages"))
+
+
 def op12_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """Leaf, subroot, root and proof of every document, folded anew from a text that a third of them had changed."""
     proved = merkle.lower_case_third(table(spark, folder, "documents"))
     return proved.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 
 
+def op13_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults, cheapest repair and digest of every conversation after damage."""
+    return dialogue.repair(table(spark, folder, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_pseudonyms, op2_pieces, op3_preferences, op4_mixture, op5_quality,
-        op6_neural_scores, op7_near_duplicates, op8_licences, op9_neighbours, op10_repeats, op12_manifest,
+        op6_neural_scores, op7_near_duplicates, op8_licences, op9_neighbours, op10_repeats, op11_main_text, op12_manifest, op13_repair,
     )
 }
 
