@@ -33,7 +33,7 @@ def _lines(part: str, status: str | None = None) -> str:
 
 
 def _band(parts: int) -> str:
-    return f"CAST(floor((l_quantity - 1) * {parts} / 50) AS INTEGER)"
+    return f"CAST(least(floor((l_quantity - 1) * {parts} / 50), {parts - 1}) AS INTEGER)"
 
 
 def _wide(spec: TableSpec, events: str) -> str:
@@ -58,7 +58,7 @@ _A1_WIDE = f"""events AS ({_orders('o_orderstatus')}),
 _EVENTS = {
     "tab_a2p": _lines(_band(13), "F"),
     "tab_a2r": _lines(_band(13), "O"),
-    "tab_p1": _lines("CAST(round(l_tax * 100) AS INTEGER)", "F"),
+    "tab_p1": _lines("CAST(least(round(l_tax * 100), 8) AS INTEGER)", "F"),
     "tab_r1": _lines("CAST(least(round(l_discount * 100), 9) AS INTEGER)", "O"),
     "tab_ta1": _lines(_band(20)),
     "tab_ta2": _orders("CAST(least(floor(o_totalprice / 62500.0), 7) AS INTEGER)"),

@@ -66,7 +66,7 @@ def _as_double(df: DataFrame, *columns: str) -> DataFrame:
 
 def _benchmark(table: str, facts: Query) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        summary = peer_summary(facts(spark, folder), X.nation_spec(table))
+        summary = peer_summary(facts(spark, folder, X.COMPARED), X.nation_spec(table))
         return _as_double(summary, "focal", "peer_group", "difference")
 
     return query
@@ -76,7 +76,7 @@ def _benchmark(table: str, facts: Query) -> Query:
 
 
 def _assessment_units(spark: SparkSession, folder: str) -> DataFrame:
-    return B.to_units(X.assessment_facts(spark, folder), X.nation_spec("tab_a1"))
+    return B.to_units(X.assessment_facts(spark, folder, X.COMPARED), X.nation_spec("tab_a1"))
 
 
 def peer_quarterly_avg(spark: SparkSession, folder: str) -> DataFrame:
@@ -142,19 +142,19 @@ def difference(spark: SparkSession, folder: str) -> DataFrame:
 
 def stepwise_summary(spark: SparkSession, folder: str) -> DataFrame:
     spec = X.nation_spec("tab_a1")
-    summary = peer_summary_stepwise(X.assessment_facts(spark, folder), spec)
+    summary = peer_summary_stepwise(X.assessment_facts(spark, folder, X.COMPARED), spec)
     return _as_double(summary, "focal", "peer_group", "difference")
 
 
 def public_summary_view(spark: SparkSession, folder: str) -> DataFrame:
     spec = X.nation_spec("tab_a1")
-    summary = peer_summary(X.assessment_facts(spark, folder), spec)
+    summary = peer_summary(X.assessment_facts(spark, folder, X.COMPARED), spec)
     return _as_double(public_view(summary, spec, "initial_asmt_summary"), "focal", "peer_group", "difference")
 
 
 def cleaned_labels(spark: SparkSession, folder: str) -> DataFrame:
     """Metric names with and without their prefix, from the prevention summary."""
-    summary = peer_summary(X.prevention_facts(spark, folder), X.nation_spec("tab_a2p"))
+    summary = peer_summary(X.prevention_facts(spark, folder, X.COMPARED), X.nation_spec("tab_a2p"))
     return summary.select(QUARTER, "metrics", clean_label(F.col("metrics")).alias("label"))
 
 
@@ -542,7 +542,7 @@ def summary_refresh(spark: SparkSession, folder: str) -> DataFrame:
 def summary_csv(spark: SparkSession, folder: str) -> DataFrame:
     """The published summary CSV read back."""
     spec = X.nation_spec("tab_a1")
-    summary = peer_summary(X.assessment_facts(spark, folder), spec)
+    summary = peer_summary(X.assessment_facts(spark, folder, X.COMPARED), spec)
     path = export_summary_csv(summary, new_folder(spark, "summary-csv"))
     back = spark.read.schema(summary.schema).option("header", True).csv(path)
     return _as_double(back, "focal", "peer_group", "difference")

@@ -59,7 +59,7 @@ def test_results_hold(spark, skewed_tables, name):
 def test_hot_supplier_is_split_when_nothing_fits_a_broadcast(spark, skewed_tables):
     with settings(spark, {**SMALL_LIMITS, "spark.sql.files.maxPartitionBytes": "1MB", "spark.sql.files.openCostInBytes": "65536"}):
         lines = X.lines_by_nation(spark, skewed_tables, F.col("l_extendedprice"))
-        got = lines.groupBy("nation", QUARTER).count()
+        got = lines.groupBy("n_nationkey", QUARTER).count()
         rows = got.collect()
         plan = got._jdf.queryExecution().executedPlan().toString()
     assert sum(r["count"] for r in rows) == 600_000
