@@ -13,6 +13,14 @@ from peerline.functions.numbers import to_double, to_whole
 from peerline.session import materialise
 
 
+def fresh_name(name: str, df: DataFrame) -> str:
+    """A column name that `df` does not have, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def rename_columns(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     """Rename by {old: new}; names that are absent are passed over."""
     return df.withColumnsRenamed(dict(names))
@@ -77,6 +85,25 @@ def dedup_rows(df: DataFrame, columns: Sequence[str], order: str) -> DataFrame:
     return df.groupBy(*columns).agg(F.min(order).alias(order))
 
 
+def dedup_wide_rows(df: DataFrame, columns: Sequence[str], order: str) -> DataFrame:
+    """The same for wide rows that seldom repeat, of `columns` and `order` alone: rows that occur once are never moved.
+
+    Rows are counted by a 64-bit hash, all that is shuffled of most of them. Those whose hash occurs again are then
+    compared cell by cell, so two rows that merely share a hash both stay. Runs one action, and reads `df` again
+    for the result: it should be stored, or cheap to read.
+    """
+    columns = list(columns)
+    key = fresh_name("row_hash", df)
+    hashed = df.select(*columns, order, F.xxhash64(*columns).alias(key))
+    repeated = hashed.groupBy(key).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1").select(key)
+    repeated = materialise(repeated, "repeated")
+    if repeated.isEmpty():
+        return df.select(*columns, order)
+    once = hashed.join(repeated, key, "left_anti").select(*columns, order)
+    again = hashed.join(repeated, key, "left_semi")
+    return once.unionByName(dedup_rows(again, columns, order).select(*columns, order))
+
+
 def start_at_anchor(df: DataFrame, group: Sequence[str], order: str, is_anchor: Column) -> DataFrame:
     """Rows of each group from its first anchor row onward; groups without one vanish.
 
@@ -84,10 +111,10 @@ def start_at_anchor(df: DataFrame, group: Sequence[str], order: str, is_anchor:
     anchors are aggregated and stored first, so that the join knows their true
     size: few groups are sent to the tasks and `df` is not moved at all.
     """
-    group = list(group)
-    found = df.filter(is_anchor).groupBy(*group).agg(F.min(order).alias("_anchor"))
+    group, anchor = list(group), fresh_name("anchor", df)
+    found = df.filter(is_anchor).groupBy(*group).agg(F.min(order).alias(anchor))
     anchors = materialise(found, "anchors")
-    kept = df.join(anchors, group, "inner").filter(F.col(order) >= F.col("_anchor"))
+    kept = df.join(anchors, group, "inner").filter(F.col(order) >= F.col(anchor))
     return kept.select(*df.columns)
 
 

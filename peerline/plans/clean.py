@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from peerline.functions.numbers import scrub_placeholder, to_decimal, to_whole
 from peerline.functions.periods import quarter_from_name
 from peerline.functions.text import text_array
-from peerline.operators.rows import dedup_rows, drop_sparse_rows, not_null, peer_flag, start_at_anchor
+from peerline.operators.rows import dedup_wide_rows, drop_sparse_rows, not_null, peer_flag, start_at_anchor
 from peerline.session import materialise
-from peerline.sources.grid import file_name
+from peerline.sources.grid import file_name, trimmed
 from peerline.specs import PEER_FLAG, QUARTER, Measure, TableSpec
 
 # Rows above the header, and the fewest filled cells of a column or row worth keeping.
@@ -19,57 +19,67 @@ LEAST_CELLS_PER_COLUMN = 20
 LEAST_CELLS_PER_ROW = 3
 
 
-def _profile(grid: DataFrame, width: int) -> DataFrame:
-    """Per file: its first row and how many cells of each column are filled, over all rows."""
-    counts = ", ".join(f"count(get(cells, {i}))" for i in range(width))
-    return grid.groupBy("file").agg(F.min("row_no").alias("first_row"), F.expr(f"array({counts}) as filled"))
+def _profile(grid: DataFrame) -> DataFrame:
+    """Per file: its first row, and how many cells of each column are filled over all rows, as a map from the column's place.
+
+    One aggregate keyed by file and place: only filled cells are counted, so a wide sheet costs its cells and
+    a wide line costs itself. Place -1 stands for the row, so that rows without cells count as well.
+    """
+    filled = F.filter(F.transform("cells", lambda c, i: F.when(c.isNotNull(), i)), lambda i: i.isNotNull())
+    places = grid.select("file", "row_no", F.explode(F.concat(F.array(F.lit(-1)), filled)).alias("place"))
+    counted = places.groupBy("file", "place").agg(F.count(F.lit(1)).alias("n"), F.min("row_no").alias("first_row"))
+    entries = F.collect_list(F.when(F.col("place") >= 0, F.struct("place", "n")))
+    return counted.groupBy("file").agg(F.min("first_row").alias("first_row"), F.map_from_entries(entries).alias("filled"))
 
 
-def _layout(grid: DataFrame, spec: TableSpec, width: int, above: int, least: int) -> DataFrame:
+def _layout(grid: DataFrame, spec: TableSpec, width: int | None, above: int, least: int) -> DataFrame:
     """Per file: quarter, the header's row, and where each wanted column sits.
 
-    `kept` tells which columns count where some do not, `last` how far the sheet
-    is filled. A header that is absent, or whose column is nearly empty, is an error that
-    names file and header.
+    `last` tells how far columns that count reach, `kept` which ones count where some before that do not. A header
+    that is absent, or whose column is nearly empty, is an error that names file and header.
     """
-    profile = materialise(_profile(grid, width), f"{spec.name}-profile")
+    profile = materialise(_profile(grid), f"{spec.name}-profile")
     header_row = F.col("first_row") + above
     top = grid.join(profile, "file").filter(F.col("row_no") <= header_row)
-    named = F.transform("cells", lambda c, i: F.coalesce(c, F.concat(F.lit("Unnamed: "), i.cast("string"))))
     # These groups hold the few rows down to the header; `filled` is the same in all of them.
     heads = top.groupBy("file").agg(
         F.max(header_row).alias("header_row"),
-        F.max(F.when(F.col("row_no") == header_row, named)).alias("names"),
+        F.max(F.when(F.col("row_no") == header_row, F.col("cells"))).alias("header"),
         F.array_agg("cells").alias("top_cells"),
-        F.max("filled").alias("filled"),
+        F.first("filled").alias("filled"),
     )
     # Rows above the data are not counted.
-    counts = F.transform(
-        "filled", lambda n, i: n - F.size(F.filter("top_cells", lambda row: F.get(row, i).isNotNull()))
+    counts = F.transform_values("filled", lambda i, n: n - F.size(F.filter("top_cells", lambda row: F.get(row, i).isNotNull())))
+    columns = F.coalesce(F.array_max(F.map_keys("filled")) + 1, F.lit(0))
+    names = F.transform(
+        F.sequence(F.lit(0), F.greatest(columns, F.lit(1)) - 1),
+        lambda i: F.coalesce(F.get("header", i), F.concat(F.lit("Unnamed: "), i.cast("string"))),
     )
-    heads = heads.withColumns({"counts": counts, "wanted": text_array(spec.headers)})
+    heads = heads.withColumns({"counts": counts, "columns": columns, "names": names, "wanted": text_array(spec.headers)})
 
     def position(header: Column) -> Column:
         return F.array_position("names", header).cast("int") - 1
 
     absent = F.filter("wanted", lambda h: position(h) < 0)
-    sparse = F.filter("wanted", lambda h: F.get("counts", position(h)) < least)
+    sparse = F.filter("wanted", lambda h: F.coalesce(F.try_element_at("counts", position(h)), F.lit(0)) < least)
 
     def refuse(reason: str, headers: Column) -> Column:
         message = F.concat(F.lit(f"{spec.name}: {reason} "), F.array_join(headers, " | "), F.lit(" in "), F.col("file"))
         return F.raise_error(message).cast("array<int>")
 
     positions = (
-        F.when(F.col("names").isNull(), refuse("no header row", F.array()))
-        .when(F.size("names") > width, refuse(f"more than {width} columns", F.array()))
+        F.when(F.col("header").isNull(), refuse("no header row", F.array()))
+        .when(F.col("columns") > (width or 1 << 30), refuse(f"more than {width} columns", F.array()))
         .when(F.size(absent) > 0, refuse("no header", absent))
         .when(F.size(sparse) > 0, refuse(f"fewer than {least} cells under", sparse))
         .otherwise(F.transform("wanted", position))
     )
-    # Cells of a nearly empty column do not count; few sheets have such a column.
-    stray = F.exists("counts", lambda n: (n > 0) & (n < least))
-    kept = F.when(stray, F.transform("counts", lambda n: n >= least))
-    last = F.array_max(F.transform("counts", lambda n, i: F.when(n > 0, i + 1).otherwise(0)))
+    # Cells of a nearly empty column do not count; few sheets have such a column among the others.
+    enough = F.map_keys(F.map_filter("counts", lambda _, n: n >= least))
+    last = F.coalesce(F.array_max("enough") + 1, F.lit(0))
+    stray = F.size(F.map_filter("counts", lambda i, n: (n > 0) & (n < least) & (i < F.col("last")))) > 0
+    kept = F.when(stray, F.transform(F.sequence(F.lit(0), F.col("last") - 1), lambda i: F.array_contains("enough", i)))
+    heads = heads.withColumn("enough", enough).withColumn("last", last)
     return heads.select(
         "file",
         F.coalesce(
@@ -79,7 +89,7 @@ def _layout(grid: DataFrame, spec: TableSpec, width: int, above: int, least: int
         "header_row",
         positions.alias("positions"),
         kept.alias("kept"),
-        last.alias("last"),
+        "last",
     )
 
 
@@ -114,26 +124,18 @@ def clean(
 
     The per-file layout and the deduplicated rows are written as working tables:
     both are used twice, and Catalyst then knows the layout's true size and
-    sends it to the tasks only if it is small. The grid itself is shuffled once,
-    for the duplicates, with copies collapsed beforehand.
+    sends it to the tasks only if it is small. Of the grid only hashes of its rows are shuffled, and
+    the rows whose hash occurs twice. The grid is read three times: for the columns filled, the repeated rows and the result.
     """
-    if width is None:
-        width = grid.agg(F.max(F.size("cells"))).first()[0] or 0
     layout = materialise(_layout(grid, spec, width, above, least_per_column), f"{spec.name}-layout")
-    body = grid.join(layout, "file").filter(F.col("row_no") > F.col("header_row"))
+    body = grid.join(layout.select("file", "header_row", "kept", "last"), "file").filter(F.col("row_no") > F.col("header_row"))
 
-    # The whole row is the key, cut to the filled columns. The positions ride
-    # along, the same in all rows of a file. Wholly empty rows need no filter of
+    # The whole row is compared, cut to the columns that count. Wholly empty rows need no filter of
     # their own, they go with the missing ids.
-    body = body.selectExpr(
-        "file",
-        QUARTER,
-        "row_no",
-        "positions",
-        "case when kept is null then slice(cells, 1, last)"
-        " else transform(slice(cells, 1, last), (c, i) -> if(get(kept, i), c, null)) end as cells",
-    )
-    rows = dedup_rows(body, ["file", QUARTER, "positions", "cells"], "row_no")
+    cut = F.slice("cells", 1, F.col("last"))
+    masked = F.transform(cut, lambda c, i: F.when(F.get("kept", i), c))
+    body = body.select("file", "row_no", trimmed(F.when(F.col("kept").isNull(), cut).otherwise(masked)).alias("cells"))
+    rows = dedup_wide_rows(body, ["file", "cells"], "row_no").join(layout.select("file", QUARTER, "positions"), "file")
     names = [*spec.key_columns, *spec.measure_columns]
     rows = rows.selectExpr(
         "file", QUARTER, "row_no", *(f"get(cells, get(positions, {k})) as {c}" for k, c in enumerate(names))

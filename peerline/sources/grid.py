@@ -1,7 +1,7 @@
 """Sheets as a grid relation: (file, row_no, cells).
 
 `row_no` orders the rows of one file; it need not be dense. `cells` holds the
-text of every cell, NULL where the cell is empty.
+text of every cell up to the last filled one, NULL where the cell is empty.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from peerline.session import materialise
+
 CSV_FILES = "*.csv*"
 
 # Cell texts that stand for an empty cell in a sheet reader.
@@ -65,60 +67,126 @@ def text_lines(source: DataFrame) -> DataFrame:
     )
 
 
-def _separators(line: Column) -> Column:
-    """Commas of a line, those inside quotes included: never fewer than its cells need."""
-    return F.length(line) - F.length(F.replace(line, F.lit(","), F.lit("")))
+def _count(text: Column, sign: str) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit(sign), F.lit("")))
+
+
+def _splits(numbered: DataFrame) -> DataFrame:
+    """(file, block_start, odd, open): quotes of each split modulo 2, and whether it begins inside a quoted cell.
+
+    Each task counts its own lines; only one row a split is summed along the file. A file whose quotes never
+    close is an error that names it, before any of its lines is moved.
+    """
+    counted = numbered.groupBy("file", "block_start").agg(F.sum(_count(F.col("value"), '"') % 2).alias("odd"))
+    along = Window.partitionBy("file").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
+    never_closed = F.raise_error(F.concat(F.lit("a quoted cell is never closed in "), F.col("file")))
+    closed = F.sum("odd").over(Window.partitionBy("file")) % 2 == 0
+    before = F.coalesce(F.sum("odd").over(along), F.lit(0)) % 2
+    return counted.select("file", "block_start", "odd", F.when(closed, before == 1).otherwise(never_closed.cast("boolean")).alias("open"))
 
 
 def records(lines: DataFrame) -> DataFrame:
     """(file, row_no, value): lines, those that a quoted cell spreads over several put together again.
 
-    Only files with a line of an odd number of quotes are touched: their lines are ordered and a
-    record ends where the quotes so far are even. A file whose quotes never close is an error that names it.
+    Quotes are counted split by split and summed along the splits, which tells of every split whether it begins inside a
+    quoted cell. Lines of splits that neither hold nor begin in an open cell stay where they are. In the others records are
+    cut within the split, a file in as many tasks as it has splits; the pieces at the edges, at most two a
+    split, then meet the piece they go on from. Runs one action: the splits are counted before the lines are read.
     """
-    numbered = lines.select("file", _row_order(F.col("block_start")).alias("row_no"), "value")
-    odd = (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2
-    open_files = numbered.filter(odd == 1).select("file").distinct()
-    if open_files.isEmpty():
-        return numbered
-    in_order = Window.partitionBy("file").orderBy("row_no")
-    before = F.coalesce(F.sum(odd).over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    spread = numbered.join(open_files, "file", "left_semi").withColumn("starts", (before % 2 == 0).cast("long"))
-    spread = spread.withColumn("record", F.sum("starts").over(in_order)).withColumn("odd", odd)
-    never_closed = F.raise_error(F.concat(F.lit("a quoted cell is never closed in "), F.col("file")))
-    whole = spread.groupBy("file", "record").agg(
-        F.min("row_no").alias("row_no"), F.sort_array(F.collect_list(F.struct("row_no", "value"))).alias("parts"), F.sum("odd").alias("odd")
+    numbered = lines.withColumn("row_no", _row_order(F.col("block_start")))
+    splits = materialise(_splits(numbered), "splits")
+    touched = splits.filter((F.col("odd") > 0) | F.col("open"))
+    if touched.isEmpty():
+        return numbered.select("file", "row_no", "value")
+    place = ["file", "block_start"]
+    plain = numbered.join(touched, place, "left_anti").select("file", "row_no", "value")
+
+    odd = _count(F.col("value"), '"') % 2
+    in_split = Window.partitionBy(*place).orderBy("row_no")
+    before = F.coalesce(F.sum("odd_line").over(in_split.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    cut = numbered.join(touched.select(*place, "open"), place).withColumn("odd_line", odd)
+    cut = cut.withColumn("starts", ((before + F.col("open").cast("int")) % 2 == 0).cast("long"))
+    # Record 0 of a split goes on from an earlier one.
+    cut = cut.withColumn("record", F.sum("starts").over(in_split))
+    pieces = cut.groupBy(*place, "record").agg(
+        F.min("row_no").alias("row_no"),
+        F.sort_array(F.collect_list(F.struct("row_no", "value"))).alias("lines"),
+        (F.sum("odd_line") % 2 == 1).alias("unclosed"),
+    )
+    pieces = materialise(
+        pieces.withColumn("value", F.array_join(F.transform("lines", lambda line: line["value"]), "\n")).drop("lines"), "pieces"
+    )
+    edge = (F.col("record") == 0) | F.col("unclosed")
+    # A piece at an edge belongs to the last split before it in which a record starts.
+    starts = splits.join(pieces.groupBy(*place).agg(F.max("record").alias("cut_starts")), place, "left").withColumn(
+        "origin", F.when(F.coalesce("cut_starts", F.lit(1)) > 0, F.col("block_start"))
     )
-    text = F.array_join(F.transform("parts", lambda part: part["value"]), "\n")
-    closed = whole.select("file", "row_no", F.when(F.col("odd") % 2 == 0, text).otherwise(never_closed.cast("string")).alias("value"))
-    return numbered.join(open_files, "file", "left_anti").unionByName(closed)
+    along = Window.partitionBy("file").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
+    origins = starts.select(*place, F.last("origin", ignorenulls=True).over(along).alias("origin"))
+    edges = pieces.filter(edge).join(origins, place).select(
+        "file", F.when(F.col("record") == 0, F.col("origin")).otherwise(F.col("block_start")).alias("origin"), "row_no", "value"
+    )
+    whole = edges.groupBy("file", "origin").agg(F.min("row_no").alias("row_no"), F.sort_array(F.collect_list(F.struct("row_no", "value"))).alias("parts"))
+    joined = whole.select("file", "row_no", F.array_join(F.transform("parts", lambda part: part["value"]), "\n").alias("value"))
+    return plain.unionByName(pieces.filter(~edge).select("file", "row_no", "value")).unionByName(joined)
+
+
+# Stand-ins for a separator outside quotes, and what they are written as where a cell holds them itself.
+_CUT, _ESCAPE = "\x01", "\x02"
+
+
+def _swap(text: Column, pairs: Sequence[tuple[str, str]]) -> Column:
+    for old, new in pairs:
+        text = F.replace(text, F.lit(old), F.lit(new))
+    return text
+
+
+def cells_of(line: Column) -> Column:
+    """The cells of a CSV record as an array of its own length; a doubled quote within quotes is one quote.
+
+    Parts between quotes alternate between outside and inside, so only commas of every other part cut. The work
+    grows with the record's length, whatever other records hold.
+    """
+    guards = [(_ESCAPE, f"{_ESCAPE}b"), (_CUT, f"{_ESCAPE}a")]
+    guarded = F.when(line.contains(_CUT) | line.contains(_ESCAPE), _swap(line, guards)).otherwise(line)
+    parts = F.transform(
+        F.split(guarded, '"'), lambda part, k: F.when(k % 2 == 0, F.replace(part, F.lit(","), F.lit(_CUT))).otherwise(part)
+    )
+
+    def unquoted(cell: Column) -> Column:
+        inner = F.replace(F.substring(cell, F.lit(2), F.length(cell) - 2), F.lit('""'), F.lit('"'))
+        bare = F.when(cell.startswith('"') & cell.endswith('"') & (F.length(cell) > 1), inner).otherwise(cell)
+        return F.when(bare.contains(_ESCAPE), _swap(bare, [(new, old) for old, new in reversed(guards)])).otherwise(bare)
+
+    quoted = F.transform(F.split(F.array_join(parts, '"'), _CUT), unquoted)
+    return F.when(line.contains('"'), quoted).otherwise(F.split(line, ","))
+
+
+def trimmed(cells: Column) -> Column:
+    """Cells up to the last filled one."""
+    last = F.array_max(F.transform(cells, lambda c, i: F.when(c.isNotNull(), i + 1).otherwise(0)))
+    return F.slice(cells, 1, F.coalesce(last, F.lit(0)))
 
 
 def parse_lines(lines: DataFrame, width: int | None = None) -> DataFrame:
-    """Grid rows of CSV lines, as wide as the widest line needs.
+    """Grid rows of CSV lines, each as long as its last filled cell.
 
-    With a `width`, a line with more cells than that is an error rather than cut short.
+    With a `width`, rows are filled up to it, and a line with more cells is an error rather than cut short.
     """
-    whole = records(lines)
+    cells = _blank_to_null(cells_of(F.col("value")))
     if width is None:
-        width = 1 + (whole.agg(F.max(_separators(F.col("value")))).first()[0] or 0)
-    columns = [f"c{i}" for i in range(width)]
-    separators = _separators(F.col("value"))
+        return records(lines).select("file", "row_no", trimmed(cells).alias("cells"))
     too_wide = F.raise_error(F.concat(F.lit(f"more than {width} cells in a line of "), F.col("file")))
-    # Filled up to the full width: the parser raises, and catches, an exception for
-    # every cell a line lacks.
-    full = F.concat("value", F.repeat(F.lit(","), width - 1 - separators))
-    line = F.when(separators < width, full).otherwise(too_wide.cast("string"))
-    schema = ", ".join(f"{c} string" for c in columns)
-    parsed = whole.select("file", "row_no", F.from_csv(line, schema, {"escape": '"'}).alias("f"))
-    cells = F.expr(f"array({', '.join(f'f.{c}' for c in columns)})")
-    return parsed.select("file", "row_no", _blank_to_null(cells).alias("cells"))
+    filled = F.concat("cells", F.array_repeat(F.lit(None).cast("string"), F.lit(width) - F.size("cells")))
+    whole = records(lines).select("file", "row_no", cells.alias("cells"))
+    return whole.withColumn("cells", F.when(F.size("cells") <= width, filled).otherwise(too_wide.cast("array<string>")))
 
 
 def read_grid(spark: SparkSession, path: str | Sequence[str], width: int | None = None) -> DataFrame:
-    """Exported sheets (CSV) of any number, size and width in one scan.
+    """Exported sheets (CSV) of any number, size and width.
 
-    Lines are read split by split, so a huge file is spread over many tasks.
+    Lines are read split by split, so a huge file is spread over many tasks. They are read twice: once to count quotes,
+    when this is called, and once for the rows.
     """
     return parse_lines(text_lines(spark.read.option("pathGlobFilter", CSV_FILES).text(path)), width)
 

@@ -1,9 +1,10 @@
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 from sheets import as_grid, authorities, header_row, positions, sheet
 
-from peerline.plans.clean import clean
+from peerline.plans.clean import _profile, clean
 from peerline.specs import SPECS
 
 A1, P1 = SPECS["tab_a1"], SPECS["tab_p1"]
@@ -135,3 +136,26 @@ def test_sheet_without_anchor_or_header(spark):
         clean(as_grid(spark, {**good, "X_202406.csv": lost}), A1)
     with pytest.raises(Exception, match="no header row"):
         clean(as_grid(spark, {**good, "X_202406.csv": rows[:1]}), A1)
+
+
+def test_a_stray_cell_tells_no_rows_apart_and_a_wide_line_widens_no_other(spark):
+    """A nearly empty column between full ones does not count, nor do 5,000 cells of one line."""
+    lines = [[*line, "full"] for line in sheet(P1, authorities(P1, number), extra=1)]
+    spare = len(lines[1]) - 2
+    body = next(i for i, line in enumerate(lines) if line[1] == "Camden")
+    copy = list(lines[body])
+    copy[spare] = "a remark"
+    wide = [*lines[body], *(["z"] * 5000)]
+    grid = as_grid(spark, {"Detailed_LA_202406.csv": [*lines, copy, wide]})
+    profile = {r["place"]: r["n"] for r in _profile(grid).select(F.explode("filled").alias("place", "n")).collect()}
+    assert 1 <= profile[spare] < 20 and profile[len(lines[body]) + 4999] == 1 and profile[1] >= 36
+    got = clean(grid, P1).collect()
+    assert len(got) == 36 and sum(r["local_authority"] == "Camden" for r in got) == 1
+
+
+def test_profile_counts_filled_cells_only(spark):
+    rows = [("a", 5, ["x", None, "y"]), ("a", 7, []), ("a", 6, [None, "z"]), ("b", 9, [None])]
+    got = _profile(spark.createDataFrame(rows, "file string, row_no bigint, cells array<string>"))
+    assert {r["file"]: (r["first_row"], r["filled"]) for r in got.collect()} == {"a": (5, {0: 1, 1: 1, 2: 1}), "b": (9, {})}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan and "partial_min" in plan

@@ -1,10 +1,13 @@
+import random
+import re
+from contextlib import contextmanager
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 from sheets import write_csv
 
-from peerline.sources.grid import list_sources, read_grid, require_source
+from peerline.sources.grid import cells_of, list_sources, read_grid, require_source
 
 
 def test_listing_filters_by_extension_anywhere_in_the_name(spark, tmp_path):
@@ -81,7 +84,8 @@ def test_cells_over_several_lines(spark, tmp_path):
 def test_any_width(spark, tmp_path):
     write_csv(tmp_path, "w_202403.csv", [[str(i) for i in range(300)], ["," * 200, "x"]])
     got = [r["cells"] for r in read_grid(spark, str(tmp_path)).orderBy("row_no").collect()]
-    assert got[0][:300] == [str(i) for i in range(300)] and got[1][:3] == ["," * 200, "x", None]
+    # Each row has its own length: the widest line fills up no other.
+    assert got[0] == [str(i) for i in range(300)] and got[1] == ["," * 200, "x"]
 
 
 def test_row_numbers_with_small_splits(spark, tmp_path):
@@ -95,3 +99,75 @@ def test_row_numbers_with_small_splits(spark, tmp_path):
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert [r["cells"][0] for r in got] == [str(i) for i in range(20_000)]
     assert len({r["row_no"] for r in got}) == 20_000
+
+
+@contextmanager
+def small_splits(spark, size):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1KB")
+    try:
+        yield
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_records_over_splits_agree_with_a_csv_reader(spark, tmp_path, seed):
+    """Quoted cells that hold many lines, or more than a split, in files cut into splits of 16 KB."""
+    some = random.Random(seed)
+    signs = ["a", "b,", '"', '""', "\n", "\n\n", " ", "é", "\x01", "\x02", "\x02a", "x" * 30]
+    want = {}
+    for name in ("one_202403.csv", "two_202406.csv"):
+        lines = []
+        for _ in range(1500):
+            cells = ["".join(some.choice(signs) for _ in range(some.randint(1, 6))) for _ in range(some.randint(1, 5))]
+            lines.append([f"r{len(lines)}", *cells])
+        for at in (3, 700, 1499):
+            lines[at].append("\n".join(f"line {k} of {at}" for k in range(4000)))
+        write_csv(tmp_path, name, lines)
+        want[name] = lines
+    with small_splits(spark, "16KB"):
+        got = read_grid(spark, str(tmp_path)).orderBy("file", "row_no").collect()
+    for name, lines in want.items():
+        assert [r["cells"] for r in got if r["file"].endswith(name)] == [[c or None for c in line] for line in lines]
+
+
+def test_splits_that_no_open_cell_reaches_are_not_moved(spark, tmp_path):
+    """One line break in a long file: its lines are cut in as many tasks as there are splits, none by a window over the file."""
+    write_csv(tmp_path, "l_202403.csv", [[str(i), "two\nlines" if i == 20_000 else "x" * 30] for i in range(40_000)])
+    with small_splits(spark, "64KB"):
+        grid = read_grid(spark, str(tmp_path))
+        plan = grid._jdf.queryExecution().executedPlan().toString()
+        got = grid.withColumn("task", F.spark_partition_id()).collect()
+    # What is summed along a file is one row a split; lines are neither sorted nor dealt by file.
+    along_files = [line for line in plan.splitlines() if re.search(r"Window .*\], \[file#\d+\], \[", line)]
+    assert along_files and not any("row_no" in line or "value" in line for line in along_files), plan
+    assert len({r["task"] for r in got}) >= 20
+    assert sorted(int(r["cells"][0]) for r in got) == list(range(40_000))
+    assert [r["cells"][1] for r in got if r["cells"][0] == "20000"] == ["two\nlines"]
+
+
+def test_an_unclosed_quote_is_found_before_lines_move(spark, tmp_path):
+    (tmp_path / "o_202403.csv").write_text('a,b\n"never,closed\n' + "x,y\n" * 50_000)
+    with small_splits(spark, "64KB"), pytest.raises(Exception, match="never closed in .*o_202403.csv"):
+        read_grid(spark, str(tmp_path))
+
+
+@pytest.mark.parametrize(
+    "line, cells",
+    [
+        ("a,b", ["a", "b"]), ("", [""]), (",", ["", ""]), ('"a,b",c', ["a,b", "c"]), ('""', [""]), ('"""a"""', ['"a"']), ('"a""b","c"', ['a"b', "c"]),
+        ('say "hi, you" now,d', ['say "hi, you" now', "d"]), ('"a\nb",c', ["a\nb", "c"]), ('"\x01,\x02a","\x02b"', ["\x01,\x02a", "\x02b"]),
+        ("\x01,\x02", ["\x01", "\x02"]), ('"\\",x', ["\\", "x"]),
+    ],
+)
+def test_cells_of_a_line(spark, line, cells):
+    (row,) = spark.createDataFrame([(line,)], "line string").select(cells_of(F.col("line"))).collect()
+    assert row[0] == cells
+
+
+def test_one_wide_line_leaves_the_others_alone(spark, tmp_path):
+    write_csv(tmp_path, "w_202403.csv", [["x"] * 20_000, *([["a", "b"]] * 100)])
+    got = read_grid(spark, str(tmp_path)).select(F.size("cells").alias("n")).groupBy("n").count().collect()
+    assert {(r["n"], r["count"]) for r in got} == {(20_000, 1), (2, 100)}

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -77,3 +79,20 @@ def test_recast(spark):
     assert [tuple(r)[1:] for r in got.collect()] == [(1.5, 7, "3"), (None, None, None)]
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         R.recast_columns(spark.createDataFrame([("no date",)], "d string"), dates=["d"]).collect()
+
+
+def test_wide_rows_are_compared_by_hash_first(spark, monkeypatch):
+    """Same rows as the plain operator; rows that share a hash only are told apart; rows that occur once are not shuffled."""
+    some = random.Random(11)
+    data = [(i, f"f{i % 3}", [some.choice("ab"), some.choice(["c", None]), str(i // 40)]) for i in range(400)]
+    df = spark.createDataFrame(data, "row_no int, file string, cells array<string>")
+    want = rows(R.dedup_rows(df, ["file", "cells"], "row_no").select("file", "cells", "row_no"))
+    assert rows(R.dedup_wide_rows(df, ["file", "cells"], "row_no")) == want and len(want) < 400
+
+    single = R.dedup_wide_rows(df.filter("row_no < 3"), ["row_no", "cells"], "row_no")
+    assert "Exchange" not in single._jdf.queryExecution().executedPlan().toString() and single.count() == 3
+    named = df.withColumnRenamed("file", "row_hash")  # clashes with the hash's own name
+    assert len(rows(R.dedup_wide_rows(named, ["row_hash", "cells"], "row_no"))) == len(want)
+
+    monkeypatch.setattr(R.F, "xxhash64", lambda *columns: F.lit(1))
+    assert rows(R.dedup_wide_rows(df, ["file", "cells"], "row_no")) == want
