@@ -28,20 +28,29 @@ def _as_text(column: str, data_type: T.DataType) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(missing))
 
 
+def fingerprint(df: DataFrame, columns: Sequence[str] | None = None, separator: str = SEPARATOR) -> Column:
+    """Text of all `columns` (default: every column), joined in order.
+
+    A missing value keeps its place through its own token: `concat_ws` alone
+    would skip it and let shifted rows look equal.
+    """
+    columns = list(columns or df.columns)
+    return F.concat_ws(separator, *(_as_text(c, df.schema[c].dataType) for c in columns))
+
+
 def add_fingerprint(
     df: DataFrame,
     columns: Sequence[str] | None = None,
     separator: str = SEPARATOR,
     name: str = FINGERPRINT,
 ) -> DataFrame:
-    """Add the text of all `columns` (default: every column), joined in order.
+    """Add the fingerprint as a column."""
+    return df.withColumn(name, fingerprint(df, columns, separator))
 
-    A missing value keeps its place through its own token: `concat_ws` alone
-    would skip it and let shifted rows look equal.
-    """
-    columns = list(columns or df.columns)
-    parts = [_as_text(c, df.schema[c].dataType) for c in columns]
-    return df.withColumn(name, F.concat_ws(separator, *parts))
+
+def row_key(text: Column) -> Column:
+    """The SHA-256 of a fingerprint, 32 bytes that stand for the whole row wherever rows are compared."""
+    return F.unhex(F.sha2(text, 256))
 
 
 def clean_label(metric: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peerline.functions.text import add_fingerprint
-from peerline.operators.delta import fresh_rows, redundant_rows
+from peerline.operators.delta import unmatched_keys
 from peerline.operators.profile import rows_per_quarter
 from peerline.plans.clean import clean
 from peerline.plans.publish import (
@@ -18,11 +18,19 @@ from peerline.plans.publish import (
     create_public_view,
     export_csv,
     export_summary_csv,
-    refresh_summary,
+    refresh_quarters,
 )
 from peerline.session import job_tables, materialise
 from peerline.sources.grid import list_sources, read_grid, require_source
-from peerline.sources.tables import create_staging, read_staging, read_summary
+from peerline.sources.tables import (
+    ROW_KEY,
+    STAGING,
+    bucket_count,
+    create_staging,
+    held_keys,
+    read_summary,
+    with_row_key,
+)
 from peerline.specs import QUARTER, SPECS, TableSpec
 
 
@@ -46,32 +54,58 @@ def _checked_keys(rows: DataFrame, spec: TableSpec) -> DataFrame:
     return rows.withColumns(checks)
 
 
-def load_fresh(cleaned: DataFrame, spec: TableSpec, replace: bool = False) -> DataFrame:
-    """Append the rows staging does not hold yet; returns them.
+def quarters_of(rows: DataFrame) -> list[int | None]:
+    return [r[0] for r in rows.select(QUARTER).distinct().collect()]  # one value per quarter
+
 
-    A fingerprint contains its quarter, so only the quarters at hand are read
-    from staging. Running the same load again adds nothing.
+def compare_with_table(rows: DataFrame, table: str, quarters: Sequence[int | None] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Rows with their digest, and the digests that `rows` or the table alone holds, in one join; all quarters or some.
+
+    The table is read bucket by bucket, its digests alone.
     """
-    spark = cleaned.sparkSession
-    table = create_staging(spark, spec)
+    spark = rows.sparkSession
+    keyed = with_row_key(rows, table)
+    found = unmatched_keys(keyed, held_keys(spark, table, quarters), ROW_KEY, bucket_count(spark, table))
+    return keyed, materialise(found, "unmatched")
+
+
+def append_fresh(rows: DataFrame, table: str, quarters: Sequence[int | None] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Append the rows a table does not hold yet; returns them, and the digests that the table alone holds.
+
+    A fingerprint contains its quarter, so the table's other quarters need not be read to find what is fresh.
+    """
+    keyed, found = compare_with_table(rows, table, quarters)
+    # Written first: read lazily, the rows would be fresh no more once appended.
+    fresh = materialise(keyed.join(found.filter("in_new").select(ROW_KEY), ROW_KEY, "left_semi"), "fresh")
+    append_rows(fresh, table)
+    return fresh, found.filter("not in_new").select(ROW_KEY)
+
+
+def load_fresh(cleaned: DataFrame, spec: TableSpec, replace: bool = False, every_quarter: bool = False) -> tuple[DataFrame, DataFrame | None]:
+    """Append the rows staging does not hold yet; returns them, and the digests of staging rows the sources lack.
+
+    Only the quarters at hand are read from staging, unless `every_quarter` is to be compared. Running the same load
+    again adds nothing. With `replace` the quarters at hand are swapped and nothing is compared.
+    """
+    table = create_staging(cleaned.sparkSession, spec)
     columns = spec.staging_columns
+    checked = _checked_keys(cleaned.select(*columns), spec)
     if replace:
-        fresh = cleaned.select(*columns)
-        append_rows(_checked_keys(fresh, spec), table, replace=True)
-        return fresh
-    quarters = [r[0] for r in cleaned.select(QUARTER).distinct().collect()]  # one value per quarter
-    held = add_fingerprint(read_staging(spark, spec, quarters), columns)
-    # Written first: read lazily, the rows would be fresh no more once appended.
-    fresh = materialise(fresh_rows(cleaned, held).select(*columns), f"{spec.name}-fresh")
-    append_rows(_checked_keys(fresh, spec), table)
-    return fresh
+        append_rows(checked, table, replace=True)
+        return cleaned.select(*columns), None
+    fresh, lone = append_fresh(checked, table, None if every_quarter else quarters_of(cleaned))
+    return fresh.select(*columns), lone
 
 
-def find_redundant(cleaned: DataFrame, spec: TableSpec) -> DataFrame:
-    """Staging rows the sources no longer contain. They are reported, never deleted."""
+def find_redundant(cleaned: DataFrame, spec: TableSpec, lone: DataFrame | None = None) -> DataFrame:
+    """Staging rows the sources no longer contain, by their digests if known. They are reported, never deleted."""
     spark = cleaned.sparkSession
-    held = add_fingerprint(read_staging(spark, spec), spec.staging_columns)
-    return redundant_rows(cleaned, held)
+    table = f"{STAGING}.{spec.name}"
+    if lone is None:
+        lone = compare_with_table(cleaned, table)[1].filter("not in_new").select(ROW_KEY)
+    held = spark.table(table)
+    held = held if ROW_KEY in held.columns else with_row_key(held, table)
+    return add_fingerprint(held.join(lone, ROW_KEY, "left_semi").select(*spec.staging_columns), spec.staging_columns)
 
 
 def run_table(
@@ -97,15 +131,15 @@ def run_table(
         grid = materialise(read(spark, folder), f"{spec.name}-grid")
         cleaned = materialise(add_fingerprint(clean(grid, spec), spec.staging_columns), f"{spec.name}-cleaned")
 
-        fresh = load_fresh(cleaned, spec, replace)
+        fresh, lone = load_fresh(cleaned, spec, replace, every_quarter=count_redundant)
         # The summary first: it must follow staging even if an export fails.
-        refresh_summary(spark, spec)
+        refresh_quarters(spark, spec, None if replace else fresh, quarters_of(cleaned))
         create_public_view(spark, spec)
         export_summary_csv(read_summary(spark, spec), f"{target}/{spec.summary_file}.csv")
         export_csv(cleaned if spec.export_all_rows else fresh, f"{target}/{spec.name}_cleaned.csv")
         redundant = None
         if count_redundant:
-            found = materialise(find_redundant(cleaned, spec), f"{spec.name}-redundant")
+            found = materialise(find_redundant(cleaned, spec, lone), f"{spec.name}-redundant")
             export_csv(found, f"{target}/{spec.name}_redundant.csv")
             redundant = found.count()
 

@@ -20,6 +20,7 @@ from peerline.operators.benchmark import (
     to_units,
     unpivot_metrics,
 )
+from peerline.operators.rows import fresh_name
 from peerline.specs import PEER_FLAG, QUARTER, TableSpec
 
 
@@ -38,26 +39,48 @@ def peer_summary(wide: DataFrame, spec: TableSpec, strict: bool = False) -> Data
     focal and peer rows only, measures are unpivoted inside the same stage, and
     every task sends on at most one row per quarter and measure.
     """
+    return summary_of(measure_states(wide, spec, strict), spec, strict)
+
+
+STATE = ("total", "n", "base_total", "base_n", "focal", "focal_ratio")
+
+
+def measure_states(wide: DataFrame, spec: TableSpec, strict: bool = False) -> DataFrame:
+    """Per quarter and measure what its summary rows need: sums and counts of the peers, largest focal value and ratio.
+
+    Measures go by their place in the spec. States of parts of the rows add up to the state of all, see `merged_states`.
+    """
     is_focal = F.col(spec.entity_column) == spec.focal
     is_peer = F.col(PEER_FLAG) == 1
+    focal, peer = fresh_name("focal", wide), fresh_name("peer", wide)
     per_row = wide.filter(is_focal | is_peer).select(
-        QUARTER, is_focal.alias("_focal"), is_peer.alias("_peer"), _unpivoted_measures(spec)
+        QUARTER, is_focal.alias(focal), is_peer.alias(peer), _unpivoted_measures(spec)
     )
     value, base = F.col("value"), F.col("base")
-    peer_value, peer_base = F.when(F.col("_peer"), value), F.when(F.col("_peer"), base)
-    per_measure = per_row.groupBy(QUARTER, "measure").agg(
+    peer_value, peer_base = F.when(F.col(peer), value), F.when(F.col(peer), base)
+    return per_row.groupBy(QUARTER, "measure").agg(
         F.sum(peer_value).alias("total"),
         F.count(peer_value).alias("n"),
         F.sum(peer_base).alias("base_total"),
         F.count(peer_base).alias("base_n"),
-        F.max(F.when(F.col("_focal"), value)).alias("focal"),
+        F.max(F.when(F.col(focal), value)).alias("focal"),
         # Taken row by row: with several focal rows the largest ratio need not
         # belong to the largest value.
-        F.max(F.when(F.col("_focal"), hundredths("value", "base", strict))).alias("focal_ratio"),
+        F.max(F.when(F.col(focal), hundredths("value", "base", strict))).alias("focal_ratio"),
     )
-    # Quarters times measures from here on. Ratios of the group use the means
-    # already rounded.
-    means = per_measure.select(
+
+
+def merged_states(states: DataFrame) -> DataFrame:
+    """One state per quarter and measure from any number of them."""
+    schema = states.schema
+    merge = {c: F.max if c.startswith("focal") else F.sum for c in STATE}
+    merged = states.groupBy(QUARTER, "measure").agg(*(merge[c](c).alias(c) for c in STATE))
+    return merged.select(QUARTER, "measure", *(F.col(c).cast(schema[c].dataType).alias(c) for c in STATE))
+
+
+def summary_of(states: DataFrame, spec: TableSpec, strict: bool = False) -> DataFrame:
+    """Summary rows from the states: quarters times measures from here on. Ratios of the group use the means already rounded."""
+    means = states.select(
         QUARTER,
         _name_of([m.label for m in spec.measures]).alias("label"),
         _name_of([m.ratio_label for m in spec.measures]).alias("ratio_label"),

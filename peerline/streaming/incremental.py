@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from peerline.functions.text import add_fingerprint
 from peerline.plans.clean import clean
-from peerline.plans.job import load_fresh
-from peerline.plans.publish import create_public_view, refresh_summary
+from peerline.plans.job import load_fresh, quarters_of
+from peerline.plans.publish import create_public_view, refresh_quarters
 from peerline.session import job_tables, materialise
 from peerline.sources.grid import CSV_FILES, parse_lines, text_lines
 from peerline.specs import TableSpec
@@ -21,7 +21,7 @@ def load_arrivals(
     files_at_once: int = 1000,
     width: int | None = None,
 ) -> None:
-    """Clean and load every file of `<source>/<sheet>` not seen before, then refresh the summary.
+    """Clean and load every file of `<source>/<sheet>` not seen before, refreshing the summary's quarters as they come.
 
     `progress` keeps the list of files done. A batch cut off half-way is run
     again, and its rows that were already appended are not fresh any more: each
@@ -32,7 +32,9 @@ def load_arrivals(
         with job_tables(spark, spec.name):
             grid = materialise(parse_lines(lines, width), f"{spec.name}-arrivals")
             cleaned = add_fingerprint(clean(grid, spec, width), spec.staging_columns)
-            load_fresh(materialise(cleaned, f"{spec.name}-cleaned"), spec)
+            cleaned = materialise(cleaned, f"{spec.name}-cleaned")
+            fresh, _ = load_fresh(cleaned, spec)
+            refresh_quarters(spark, spec, fresh, quarters_of(cleaned))
 
     files = spark.readStream.option("pathGlobFilter", CSV_FILES).option("maxFilesPerTrigger", files_at_once)
     query = (
@@ -43,5 +45,4 @@ def load_arrivals(
         .start()
     )
     query.awaitTermination()
-    refresh_summary(spark, spec)
     create_public_view(spark, spec)

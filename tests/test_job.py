@@ -3,10 +3,12 @@ from decimal import Decimal
 from pathlib import Path
 
 import pytest
-from sheets import authorities, sheet, write_csv
+from pyspark.sql import functions as F
+from sheets import as_grid, authorities, sheet, write_csv
 
-from peerline.plans.job import duplicate_keys, run_all, run_table
-from peerline.plans.publish import append_rows
+from peerline.plans.clean import clean
+from peerline.plans.job import duplicate_keys, load_fresh, run_all, run_table
+from peerline.plans.publish import append_rows, refresh_quarters, refresh_summary
 from peerline.specs import SPECS
 from peerline.streaming.incremental import load_arrivals
 
@@ -162,3 +164,55 @@ def test_arriving_files_are_loaded_once(spark, tmp_path, clean_catalog):
     # A batch replayed after a failure adds nothing: its rows are already held.
     load_arrivals(spark, spec, str(source), str(tmp_path / "progress-lost"))
     assert staging.count() == 108
+
+
+def stored(spark, spec):
+    return sorted(map(tuple, spark.table(f"core.{spec.summary}").select(*sorted(spark.table(f"core.{spec.summary}").columns)).collect()), key=repr)
+
+
+def test_a_load_of_one_quarter_reads_one_quarter(spark, tmp_path, clean_catalog):
+    """The summary after each load is that of all of staging, though the other quarters' files are out of reach."""
+    spec = SPECS["tab_ta2"]
+    wide = {q: clean(as_grid(spark, {f"Detailed_LA_{q}.csv": sheet(spec, authorities(spec, lambda k, j: str(q % 100 + 9 * k + j)))}), spec) for q in (202403, 202406, 202409)}
+    for q in (202403, 202406):
+        fresh, _ = load_fresh(wide[q], spec)
+        refresh_quarters(spark, spec, fresh, [q])
+    location = spark.sql("DESCRIBE TABLE EXTENDED staging.tab_ta2").filter("col_name = 'Location'").first()["data_type"].removeprefix("file:")
+    hidden = [p for p in Path(location, "quarter_ending=202403").glob("*.parquet")]
+    held = {p: p.read_bytes() for p in hidden}
+    for p in hidden:
+        p.write_bytes(b"not a table")
+        p.with_name(f".{p.name}.crc").unlink(missing_ok=True)
+    try:
+        revised = wide[202406].withColumn("households_in_ta", F.col("households_in_ta") + 50)
+        for q, rows in ((202409, wide[202409]), (202406, revised)):
+            fresh, _ = load_fresh(rows, spec)
+            refresh_quarters(spark, spec, fresh, [q])
+    finally:
+        for p, content in held.items():
+            p.write_bytes(content)
+    spark.catalog.refreshTable("staging.tab_ta2")
+    by_load = stored(spark, spec)
+    assert len(by_load) == 3 * 17
+    refresh_summary(spark, spec)
+    assert stored(spark, spec) == by_load
+
+
+def test_a_load_cut_off_before_the_refresh_is_made_up_for(spark, tmp_path, clean_catalog):
+    spec = SPECS["tab_p1"]
+    put(tmp_path, spec, 202403)
+    run_table(spark, spec, str(tmp_path), str(tmp_path / "out"))
+    held = spark.table("staging.tab_p1").select(*spec.staging_columns)
+    rows = spark.createDataFrame(held.collect(), held.schema)
+    more = rows.withColumn("prevention_duty_ended", F.col("prevention_duty_ended") + 1)
+    load_fresh(more, spec)  # appended, and then the job is lost
+    before = stored(spark, spec)
+    fresh, _ = load_fresh(more, spec)
+    assert fresh.count() == 0 and spark.table("staging.tab_p1").count() == 72
+    refresh_quarters(spark, spec, fresh, [202403])
+    assert stored(spark, spec) != before
+    by_load = stored(spark, spec)
+    refresh_summary(spark, spec)
+    assert stored(spark, spec) == by_load
+    refresh_quarters(spark, spec, fresh, [])
+    assert stored(spark, spec) == by_load
