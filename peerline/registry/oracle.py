@@ -7,7 +7,7 @@ all in whole numbers; hundredths become doubles in the last select.
 
 from __future__ import annotations
 
-from peerline.specs import SPECS, TableSpec
+from peerline.registry.expected import columns, metrics
 
 QUARTER_SQL = "CAST(year({d}) * 100 + quarter({d}) * 3 AS INTEGER)"
 PEER_LIST = ", ".join(f"'NATION_{i}'" for i in range(1, 10))
@@ -36,9 +36,9 @@ def _band(parts: int) -> str:
     return f"CAST(least(floor((l_quantity - 1) * {parts} / 50), {parts - 1}) AS INTEGER)"
 
 
-def _wide(spec: TableSpec, events: str) -> str:
+def _wide(table: str, events: str) -> str:
     """CTE `wide`: counts per nation and quarter, zero as NULL."""
-    total, *parts = spec.measure_columns
+    total, *parts = columns(table)
     counts = ", ".join(f"nullif(count(*) FILTER (WHERE part = {k}), 0) AS {c}" for k, c in enumerate(parts))
     return f"""events AS ({events}),
     wide AS (SELECT n_nationkey, n_name, quarter_ending, count(*) AS {total}, {counts}
@@ -66,14 +66,14 @@ _EVENTS = {
 
 
 def _wide_of(table: str) -> str:
-    return _A1_WIDE if table == "tab_a1" else _wide(SPECS[table], _EVENTS[table])
+    return _A1_WIDE if table == "tab_a1" else _wide(table, _EVENTS[table])
 
 
 def _both(table: str) -> str:
     """CTEs up to `rounded`: the focal rows and the rounded peer means, in units."""
-    columns = SPECS[table].measure_columns
-    means = ", ".join(f"CAST((2 * sum({c}) + count({c})) // nullif(2 * count({c}), 0) AS BIGINT) AS {c}" for c in columns)
-    listed = ", ".join(columns)
+    names = columns(table)
+    means = ", ".join(f"CAST((2 * sum({c}) + count({c})) // nullif(2 * count({c}), 0) AS BIGINT) AS {c}" for c in names)
+    listed = ", ".join(names)
     return f"""{_wide_of(table)},
     means AS (SELECT quarter_ending, {means} FROM wide WHERE n_name IN ({PEER_LIST}) GROUP BY 1),
     rounded AS (
@@ -85,10 +85,10 @@ def _both(table: str) -> str:
 def _metrics(table: str) -> list[tuple[str, str]]:
     """(name, hundredths) of every metric."""
     out = []
-    for m in SPECS[table].measures:
-        out.append((m.label, f"100 * {m.column}"))
-        if m.base:
-            out.append((m.ratio_label, f"(200 * {m.column} + {m.base}) // nullif(2 * {m.base}, 0)"))
+    for column, base, name, ratio in metrics(table):
+        out.append((name, f"100 * {column}"))
+        if base:
+            out.append((ratio, f"(200 * {column} + {base}) // nullif(2 * {base}, 0)"))
     return out
 
 
@@ -116,8 +116,7 @@ def _benchmark(table: str) -> str:
         p / 100.0::DOUBLE AS peer_group, (f - p) / 100.0::DOUBLE AS difference FROM sides"""
 
 
-_A1 = SPECS["tab_a1"]
-_A1_COLUMNS = ", ".join(_A1.measure_columns)
+_A1_COLUMNS = ", ".join(columns("tab_a1"))
 _A1_RATIOS = ", ".join(f"({value}) / 100.0::DOUBLE AS {name}" for name, value in _metrics("tab_a1"))
 _UNITS = f"SELECT CAST(n_nationkey AS VARCHAR) AS system_id, n_name AS local_authority, {_A1_COLUMNS}, quarter_ending"
 
@@ -157,9 +156,9 @@ _SHEETS = f"""SELECT 'E' || o_custkey AS system_id, 'Customer ' || o_custkey AS
 
 def _cleaned(table: str) -> str:
     """Sheets in which measure k counts the orders whose key leaves k, and the national total."""
-    columns = SPECS[table].measure_columns
-    n, quarter = len(columns), f"CAST({_quarter('o_orderdate')} + 2500 AS INTEGER)"
-    counts = ", ".join(f"nullif(count(*) FILTER (WHERE o_orderkey % {n} = {k}), 0) AS {c}" for k, c in enumerate(columns))
+    names = columns(table)
+    n, quarter = len(names), f"CAST({_quarter('o_orderdate')} + 2500 AS INTEGER)"
+    counts = ", ".join(f"nullif(count(*) FILTER (WHERE o_orderkey % {n} = {k}), 0) AS {c}" for k, c in enumerate(names))
     totals = ", ".join(str(1000 + k) for k in range(n))
     return f"""SELECT 'E' || o_custkey AS system_id, 'Customer ' || o_custkey AS local_authority, {counts},
         {quarter} AS quarter_ending, 0 AS is_neighbouring_la FROM orders GROUP BY o_custkey, {_quarter('o_orderdate')}
@@ -267,6 +266,19 @@ ORACLE: dict[str, str] = {
     "grid_scan": f"""SELECT * REPLACE (CASE WHEN o_orderkey % 7 = 0
         THEN concat('first "line",', chr(10), chr(10), 'last of ', priority) ELSE priority END AS priority) FROM ({_ORDER_ROWS})""",
     "source_listing": f"SELECT DISTINCT {_quarter('o_orderdate')} AS quarter_ending FROM orders",
+    "delta_both": f"""{_DELTA} SELECT *, 'fresh' AS side FROM new WHERE NOT EXISTS (SELECT 1 FROM old WHERE
+            old.o_orderkey = new.o_orderkey AND old.priority = new.priority)
+        UNION ALL SELECT *, 'redundant' AS side FROM old WHERE NOT EXISTS (SELECT 1 FROM new WHERE
+            old.o_orderkey = new.o_orderkey AND old.priority = new.priority)""",
+    "dedup_wide_rows": """SELECT l_returnflag, l_linestatus, l_linenumber, l_shipdate, l_extendedprice, min(l_orderkey) AS row_no
+        FROM lineitem GROUP BY ALL""",
+    "other_files": f"""SELECT DISTINCT {_quarter('o_orderdate')} AS quarter_ending FROM orders
+        WHERE {_quarter('o_orderdate')} <> 199803""",
+    "staging_quarters": f"""WITH {_wide_of('tab_ta2')} SELECT CAST(n_nationkey AS VARCHAR) AS system_id, n_name AS local_authority,
+        {', '.join(columns('tab_ta2'))}, quarter_ending, CAST(n_name IN ({PEER_LIST}) AS INTEGER) AS is_neighbouring_la
+        FROM wide WHERE quarter_ending IN (199603, 199712)""",
+    "summary_csv_order": f"""WITH {_sides('tab_a1')} SELECT row_number() OVER (ORDER BY quarter_ending, metrics) AS line,
+        quarter_ending, metrics FROM sides""",
     "staging_append": f"""{_DELTA} SELECT * FROM old UNION ALL SELECT * FROM new WHERE NOT EXISTS (
         SELECT 1 FROM old WHERE old.o_orderkey = new.o_orderkey AND old.priority = new.priority)""",
     "summary_refresh": _benchmark("tab_ta2"),

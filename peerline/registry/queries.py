@@ -6,11 +6,13 @@ Every callable takes (spark, folder of parquet tables) and returns a DataFrame.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from peerline.functions.numbers import (
     round_divide,
@@ -29,23 +31,25 @@ from peerline.functions.periods import (
 from peerline.functions.text import FINGERPRINT, add_fingerprint, clean_label, text_array
 from peerline.operators import benchmark as B
 from peerline.operators import rows as R
-from peerline.operators.delta import fresh_rows, redundant_rows
+from peerline.operators.delta import compare_rows, fresh_rows, redundant_rows
 from peerline.operators.profile import filled_cells, fingerprint_counts, rows_per_quarter
 from peerline.plans import facts as X
 from peerline.plans.clean import clean
+from peerline.plans.job import append_fresh, load_fresh, quarters_of
 from peerline.plans.publish import (
     append_rows,
     create_public_view,
     export_csv,
     export_summary_csv,
     public_view,
-    refresh_summary,
+    refresh_quarters,
 )
 from peerline.plans.summary import peer_summary, peer_summary_stepwise
+from peerline.registry.expected import ANCHOR, SHEETS
 from peerline.session import materialise, new_folder
-from peerline.sources.grid import list_sources, read_grid
-from peerline.sources.tables import create_staging, read_summary
-from peerline.specs import PEER_FLAG, QUARTER, SPECS, TableSpec
+from peerline.sources.grid import list_sources, read_grid, require_source
+from peerline.sources.tables import CORE, PUBLIC, STAGING, create_keyed_table, create_staging, read_staging, read_summary
+from peerline.specs import PEER_FLAG, QUARTER, SPECS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -317,6 +321,13 @@ def dedup_rows(spark: SparkSession, folder: str) -> DataFrame:
     return R.dedup_rows(lines.select(*cells, F.col("l_orderkey").alias("row_no")), cells, "row_no")
 
 
+def dedup_wide_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines that seldom repeat, the first of each."""
+    lines = X.read_table(spark, folder, "lineitem")
+    cells = ["l_returnflag", "l_linestatus", "l_linenumber", "l_shipdate", "l_extendedprice"]
+    return R.dedup_wide_rows(lines.select(*cells, F.col("l_orderkey").alias("row_no")), cells, "row_no")
+
+
 def append_by_name(spark: SparkSession, folder: str) -> DataFrame:
     """Orders cut by status into frames of different columns, put together by name."""
     orders = X.read_table(spark, folder, "orders")
@@ -354,6 +365,13 @@ def delta_redundant(spark: SparkSession, folder: str) -> DataFrame:
     return redundant_rows(new, old).drop(FINGERPRINT)
 
 
+def delta_both(spark: SparkSession, folder: str) -> DataFrame:
+    """Fresh and redundant rows from one comparison."""
+    new, old = add_fingerprint(_order_rows(spark, folder)), add_fingerprint(_held_orders(spark, folder))
+    fresh, redundant = compare_rows(new, old)
+    return R.append_by_name([R.add_constant(fresh, "side", "fresh"), R.add_constant(redundant, "side", "redundant")]).drop(FINGERPRINT)
+
+
 def delta_keeps_copies(spark: SparkSession, folder: str) -> DataFrame:
     """Line contents with many copies against the contents of returned lines: copies stay."""
     lines = X.read_table(spark, folder, "lineitem")
@@ -389,7 +407,6 @@ _SHEET_ROWS_ABOVE = 4  # title, header, sub-header, national total
 
 def _sheet_grid(spark: SparkSession, folder: str) -> DataFrame:
     """One A1 sheet per quarter as a grid: a row per customer who ordered, each row there twice."""
-    spec = SPECS["tab_a1"]
     per_customer = _order_quarters(spark, folder).groupBy("o_custkey", QUARTER).agg(
         F.count(F.lit(1)).alias("all"),
         F.count_if(F.col("o_orderstatus") == "F").alias("f"),
@@ -418,13 +435,13 @@ def _sheet_grid(spark: SparkSession, folder: str) -> DataFrame:
         "file", (key * 2 + F.col("copy") + _SHEET_ROWS_ABOVE).cast("bigint").alias("row_no"), "cells"
     )
 
-    at = {4: 0, 5: 1, 6: 2, 7: 3, 15: 4}
-    headers = [spec.measures[at[i]].header if i in at and i != 15 else None for i in range(16)]
+    named = [h for h in SHEETS["tab_a1"] if not h.startswith("Unnamed: ")]
+    headers = [None] * 4 + named + [None] * (12 - len(named))
     top = [
         ["Table A1"] + [None] * 15,
         headers,
         [None] * 4 + ["count"] * 12,
-        ["E92000001", spec.anchor, None, None, "100", "90", "50", "40"] + [None] * 7 + ["25.500"],
+        ["E92000001", ANCHOR, None, None, "100", "90", "50", "40"] + [None] * 7 + ["25.500"],
     ]
     lines = F.array(*(F.struct(F.lit(i).cast("bigint").alias("row_no"), text_array(r).alias("cells")) for i, r in enumerate(top)))
     head = per_customer.select(name.alias("file")).distinct().select("file", F.inline(lines))
@@ -438,18 +455,19 @@ def clean_sheets(spark: SparkSession, folder: str) -> DataFrame:
     return _as_double(cleaned, "households_in_area_000s")
 
 
-def _header_places(spec: TableSpec) -> list[int]:
+def _header_places(headers: list[str]) -> list[int]:
     """Column of each wanted header in a sheet: unnamed ones where their number says, the others in the gaps from the right."""
-    fixed = {int(h.removeprefix("Unnamed: ")) for h in spec.headers if h.startswith("Unnamed: ")}
-    named = [h for h in spec.headers if not h.startswith("Unnamed: ")]
+    fixed = {int(h.removeprefix("Unnamed: ")) for h in headers if h.startswith("Unnamed: ")}
+    named = [h for h in headers if not h.startswith("Unnamed: ")]
     gaps = [i for i in range(2, 2 + len(named) + len(fixed)) if i not in fixed][: len(named)]
     place = dict(zip(named, reversed(gaps)))
-    return [place[h] if h in place else int(h.removeprefix("Unnamed: ")) for h in spec.headers]
+    return [place[h] if h in place else int(h.removeprefix("Unnamed: ")) for h in headers]
 
 
-def _counts_grid(spark: SparkSession, folder: str, spec: TableSpec) -> DataFrame:
+def _counts_grid(spark: SparkSession, folder: str, table: str) -> DataFrame:
     """One sheet per quarter: a row per customer who ordered, there twice; measure k counts the orders whose key leaves k."""
-    n, places = len(spec.measures), _header_places(spec)
+    headers = ["Unnamed: 0", "Unnamed: 1", *SHEETS[table]]
+    n, places = len(SHEETS[table]), _header_places(headers)
     width = max(places) + 1
     whole = [F.count_if(F.col("o_orderkey") % n == k).alias(f"n{k}") for k in range(n)]
     rows = _order_quarters(spark, folder).groupBy("o_custkey", QUARTER).agg(*whole)
@@ -464,8 +482,8 @@ def _counts_grid(spark: SparkSession, folder: str, spec: TableSpec) -> DataFrame
     counts = [F.when(F.col(f"n{k}") > 0, F.col(f"n{k}").cast("string")).otherwise(F.lit("..")) for k in range(n)]
     body = rows.select(file, key, line(ids + counts).alias("cells"), F.explode(F.array(F.lit(0), F.lit(1))).alias("copy"))
     body = body.select("file", (key * 2 + F.col("copy") + _SHEET_ROWS_ABOVE).cast("bigint").alias("row_no"), "cells")
-    names = [F.lit(h) if not h.startswith("Unnamed: ") else F.lit(None).cast("string") for h in spec.headers]
-    totals = [F.lit("E92000001"), F.lit(spec.anchor), *(F.lit(str(1000 + k)) for k in range(n))]
+    names = [F.lit(h) if not h.startswith("Unnamed: ") else F.lit(None).cast("string") for h in headers]
+    totals = [F.lit("E92000001"), F.lit(ANCHOR), *(F.lit(str(1000 + k)) for k in range(n))]
     top = [line([F.lit("Table"), *[F.lit(None).cast("string")] * (n + 1)]), line(names), line([F.lit(None).cast("string")] * (n + 2)), line(totals)]
     lines = F.array(*(F.struct(F.lit(i).cast("bigint").alias("row_no"), cells.alias("cells")) for i, cells in enumerate(top)))
     head = rows.select(file).distinct().select("file", F.inline(lines))
@@ -476,8 +494,7 @@ def _clean_counts(table: str) -> Query:
     """The cleaner by the headers of one table."""
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        spec = SPECS[table]
-        return clean(materialise(_counts_grid(spark, folder, spec), "sheets"), spec)
+        return clean(materialise(_counts_grid(spark, folder, table), "sheets"), SPECS[table])
 
     return query
 
@@ -510,33 +527,71 @@ def source_listing(spark: SparkSession, folder: str) -> DataFrame:
     path = new_folder(spark, "listing")
     _order_rows(spark, folder).hint("rebalance", QUARTER).write.partitionBy(QUARTER).option("header", True).csv(path)
     files = list_sources(spark, f"{path}/{QUARTER}=*", ["csv"])
-    quarter = F.regexp_extract("path", rf"{QUARTER}=(\d+)", 1).cast("int")
-    return files.select(quarter.alias(QUARTER)).distinct()
+    return files.select(_quarter_in_path().cast("int").alias(QUARTER)).distinct()
+
+
+def _quarter_in_path() -> Column:
+    return F.regexp_extract("path", rf"{QUARTER}=(\d+)", 1)
+
+
+def other_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Quarters of the exports beside the model file, which must be among them."""
+    path = new_folder(spark, "listing")
+    _order_rows(spark, folder).hint("rebalance", QUARTER).write.partitionBy(QUARTER).option("header", True).csv(path)
+    sources = list_sources(spark, f"{path}/{QUARTER}=*", ["csv"]).select(_quarter_in_path().alias("name")).distinct()
+    require_source(sources, "199803")
+    return sources.filter("name <> '199803'").select(F.col("name").cast("int").alias(QUARTER))
+
+
+@contextmanager
+def _own_tables(spark: SparkSession, *databases: str) -> Iterator[str]:
+    """A table name of its own, in whose tables a query may write; they are dropped at the end."""
+    own = f"run_{uuid.uuid4().hex}"
+    try:
+        yield own
+    finally:
+        for table in [f"{d}.{t.name}" for d in databases if spark.catalog.databaseExists(d) for t in spark.catalog.listTables(d) if t.name.startswith(own)]:
+            kind = "VIEW" if table.startswith(PUBLIC) else "TABLE"
+            spark.sql(f"DROP {kind} IF EXISTS {table}")
 
 
 def staging_append(spark: SparkSession, folder: str) -> DataFrame:
-    """Held rows written first, fresh rows appended, the table read back."""
-    path = new_folder(spark, "staging")
+    """Held rows appended to a staging table, then the fresh ones among all rows, the table read back."""
     held = _held_orders(spark, folder)
-    held.hint("rebalance", QUARTER).write.partitionBy(QUARTER).parquet(path)
-    table = spark.read.schema(held.schema).parquet(path)
-    fresh = fresh_rows(add_fingerprint(_order_rows(spark, folder)), add_fingerprint(table.select(*held.columns)))
-    fresh = materialise(fresh.drop(FINGERPRINT), "staging-fresh")
-    fresh.hint("rebalance", QUARTER).write.mode("append").partitionBy(QUARTER).parquet(path)
-    return spark.read.schema(held.schema).parquet(path).select(*held.columns)
+    with _own_tables(spark, STAGING) as own:
+        table = create_keyed_table(spark, f"{STAGING}.{own}", held.schema)
+        append_rows(held, table)
+        append_fresh(_order_rows(spark, folder), table)
+        return materialise(spark.table(table).select(*held.columns), "appended")
+
+
+def staging_quarters(spark: SparkSession, folder: str) -> DataFrame:
+    """Two quarters of a staging table read back in its declared columns."""
+    with _own_tables(spark, STAGING) as own:
+        spec = replace(X.nation_spec("tab_ta2"), name=own)
+        append_rows(X.composition_facts(spark, folder), create_staging(spark, spec))
+        return materialise(read_staging(spark, spec, [199603, 199712]), "quarters")
 
 
 def summary_refresh(spark: SparkSession, folder: str) -> DataFrame:
-    """The shipped tables: staging created and appended to twice, the summary refreshed each time and read through its view."""
-    own = f"nations_{uuid.uuid4().hex}"
-    spec = replace(X.nation_spec("tab_ta2"), name=own, summary=own)
-    wide = X.composition_facts(spark, folder)
-    staging = create_staging(spark, spec)
-    for rows in (wide.filter(F.col(QUARTER) < 199900), wide.filter(F.col(QUARTER) >= 199900)):
-        append_rows(rows, staging)
-        refresh_summary(spark, spec)
-    create_public_view(spark, spec)
-    return _as_double(read_summary(spark, spec), "focal", "peer_group", "difference")
+    """The shipped tables: staging created and loaded twice, the summary brought up to date each time and read through its view."""
+    with _own_tables(spark, STAGING, CORE, PUBLIC) as own:
+        spec = replace(X.nation_spec("tab_ta2"), name=own, summary=own)
+        wide = materialise(X.composition_facts(spark, folder), "facts")
+        for rows in (wide.filter(F.col(QUARTER) < 199900), wide.filter(F.col(QUARTER) >= 199600)):
+            fresh, _ = load_fresh(rows, spec)
+            refresh_quarters(spark, spec, fresh, quarters_of(rows))
+        create_public_view(spark, spec)
+        return _as_double(materialise(read_summary(spark, spec), "summary"), "focal", "peer_group", "difference")
+
+
+def summary_csv_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Quarter and metric of every line of the published summary CSV, by its place in the file."""
+    summary = peer_summary(X.assessment_facts(spark, folder, X.COMPARED), X.nation_spec("tab_a1"))
+    path = export_summary_csv(summary, new_folder(spark, "summary-csv"))
+    place = F.row_number().over(Window.partitionBy("file").orderBy("row_no")).cast("long") - 1
+    lines = read_grid(spark, path).select(place.alias("line"), F.get("cells", F.lit(0)).alias(QUARTER), F.get("cells", F.lit(4)).alias("metrics"))
+    return lines.filter("line > 0").withColumn(QUARTER, F.col(QUARTER).cast("int"))
 
 
 def summary_csv(spark: SparkSession, folder: str) -> DataFrame:
@@ -579,9 +634,11 @@ QUERIES: dict[str, Query] = {
     "not_null_id": not_null_id,
     "start_at_anchor": start_at_anchor,
     "dedup_rows": dedup_rows,
+    "dedup_wide_rows": dedup_wide_rows,
     "append_by_name": append_by_name,
     "delta_load": delta_load,
     "delta_redundant": delta_redundant,
+    "delta_both": delta_both,
     "delta_keeps_copies": delta_keeps_copies,
     "fingerprint_rows": fingerprint_rows,
     "fingerprint_counts": fingerprint_totals,
@@ -592,7 +649,10 @@ QUERIES: dict[str, Query] = {
     "csv_export": csv_export,
     "grid_scan": grid_scan,
     "source_listing": source_listing,
+    "other_files": other_files,
     "staging_append": staging_append,
+    "staging_quarters": staging_quarters,
     "summary_refresh": summary_refresh,
     "summary_csv": summary_csv,
+    "summary_csv_order": summary_csv_order,
 }
