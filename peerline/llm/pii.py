@@ -9,24 +9,30 @@ days stay in range, a leap year stays one.
 
 from __future__ import annotations
 
+import functools
+import secrets
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peerline.llm.common import let
+from peerline.operators.rows import fresh_name
 
 ROUNDS = 8
-KEY = "peerline"
+KEY_SETTING = "spark.pseudonyms.key"
 
 # The kinds of value and their patterns, in the order they are tried.
 EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 ACCESS_KEY = r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])"
-HEX = r"(?<![A-Za-z0-9])(?=[0-9a-f]*[0-9])(?=[0-9a-f]*[a-f])(?:[0-9a-f]{64}|[0-9a-f]{40}|[0-9a-f]{32})(?![A-Za-z0-9])"
+HEX = (
+    r"(?<![A-Za-z0-9])(?:(?=[0-9a-f]*[0-9])(?=[0-9a-f]*[a-f])(?:[0-9a-f]{64}|[0-9a-f]{40}|[0-9a-f]{32})"
+    r"|(?=[0-9A-F]*[0-9])(?=[0-9A-F]*[A-F])(?:[0-9A-F]{64}|[0-9A-F]{40}|[0-9A-F]{32}))(?![A-Za-z0-9])"
+)
 IP = r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![0-9]|\.[0-9])"
-DATE = r"(?<![0-9./-])(?:(?:19|20)[0-9]{2}[-/.](?:0[1-9]|1[0-2])[-/.](?:0[1-9]|[12][0-9]|3[01])|(?:0[1-9]|[12][0-9]|3[01])[-/.](?:0[1-9]|1[0-2])[-/.](?:19|20)[0-9]{2})(?![0-9]|[./-][0-9])"
+DATE = r"(?<![0-9./-])(?:(?:19|20)[0-9]{2}[-/.](?:0[1-9]|1[0-2])[-/.](?:0[1-9]|[12][0-9]|3[01])|(?:0[1-9]|[12][0-9]|3[01])[-/.](?:0[1-9]|1[0-2])[-/.](?:19|20)[0-9]{2}|(?:0[1-9]|1[0-2])[-/.](?:1[3-9]|2[0-9]|3[01])[-/.](?:19|20)[0-9]{2})(?![0-9]|[./-][0-9])"
 SSN = r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9]|-[0-9])"
 PHONE = r"(?<![0-9+])(?:\+?1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9])"
 INTERNATIONAL = r"(?<![0-9+])\+[1-9][0-9]{0,2}(?:[ .-]?\(?[0-9]{1,4}\)?){2,5}(?![0-9])"
@@ -207,9 +213,16 @@ def _international(m: Column, key: str) -> Column:
 
 
 def _date(m: Column, key: str) -> Column:
-    """A day of 1900-2099 to another, common years and leap years each among themselves; no day, no change."""
+    """A day of 1900-2099 to another, common years and leap years each among themselves; no day, no change.
+
+    A date whose middle number is above 12 has its month first, and so has its pseudonym; others begin with the year or the day. A
+    month-first pseudonym may have a day up to 12.
+    """
     year_first = F.substr(m, F.lit(5), F.lit(1)).isin("-", "/", ".")
-    plain = F.when(year_first, F.concat_ws("-", F.substr(m, F.lit(1), F.lit(4)), F.substr(m, F.lit(6), F.lit(2)), F.substr(m, F.lit(9), F.lit(2)))).otherwise(
+    month_first = ~year_first & (F.substr(m, F.lit(4), F.lit(2)).try_cast("int") > 12)
+    plain = F.when(year_first, F.concat_ws("-", F.substr(m, F.lit(1), F.lit(4)), F.substr(m, F.lit(6), F.lit(2)), F.substr(m, F.lit(9), F.lit(2)))).when(
+        month_first, F.concat_ws("-", F.substr(m, F.lit(7), F.lit(4)), F.substr(m, F.lit(1), F.lit(2)), F.substr(m, F.lit(4), F.lit(2)))
+    ).otherwise(
         F.concat_ws("-", F.substr(m, F.lit(7), F.lit(4)), F.substr(m, F.lit(4), F.lit(2)), F.substr(m, F.lit(1), F.lit(2)))
     )
 
@@ -222,7 +235,7 @@ def _date(m: Column, key: str) -> Column:
         def text(l: Column, r: Column) -> Column:
             back = F.when(leap, 1904 + 4 * l).otherwise(F.when(l == 0, 1900).otherwise(1901 + (l - 1) + F.floor((l - 1) / 3)))
             new = F.date_add(F.make_date(back.cast("int"), F.lit(1), F.lit(1)), r.cast("int"))
-            return F.when(year_first, F.date_format(new, "yyyyMMdd")).otherwise(F.date_format(new, "ddMMyyyy"))
+            return F.when(year_first, F.date_format(new, "yyyyMMdd")).when(month_first, F.date_format(new, "MMddyyyy")).otherwise(F.date_format(new, "ddMMyyyy"))
 
         sizes = (F.when(leap, F.lit(49)).otherwise(F.lit(151)), F.when(leap, F.lit(366)).otherwise(F.lit(365)))
         return F.when(day.isNull(), m).otherwise(refill(m, permute_pair(place, F.dayofyear(day) - 1, sizes, "date", key, text)))
@@ -259,22 +272,38 @@ KINDS = (
 )
 
 
-def pseudonymise(docs: DataFrame, key: str = KEY, text: str = "text", kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
+@functools.cache
+def _own_key(application: str) -> str:
+    return secrets.token_hex(32)
+
+
+def session_key(spark: SparkSession) -> str:
+    """The secret of the session's settings; a session without one gets a key of its own, which ends with it.
+
+    Values stay linked across runs only under a key that is set. It is nowhere in the source, so pseudonyms cannot be undone
+    by those who have the code.
+    """
+    return spark.conf.get(KEY_SETTING, None) or _own_key(spark.sparkContext.applicationId)
+
+
+def pseudonymise(docs: DataFrame, key: str | None = None, text: str = "text", kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
     """`docs` with `text` rewritten, and `n_<kind>` (long) for each kind and `n_found` (long) added.
 
     One row-wise projection, no shuffle. Texts without a digit and without an @ pass
     untouched, as do null and empty texts (nothing found). Matches are taken from
     left to right without overlap. A value that only looks like its kind (a wrong IBAN, the 31st of February)
     stays as it is; a long number with a wrong check digit counts as an account number and gets a wrong one again. Columns of
-    `docs` that carry a name added here give way.
+    `docs` that carry such a name give way, all others stay. Without `key` that of the session holds, see `session_key`.
     """
+    key = key or session_key(docs.sparkSession)
+    listed = fresh_name("found", docs)
     any_kind = "|".join(f"(?:{k.pattern})" for k in kinds)
     added = [f"n_{k.name}" for k in kinds] + ["n_found"]
     kept = [c for c in docs.columns if c not in added]
     body = F.col(text)
     found = F.when(body.rlike("[0-9@]"), F.regexp_extract_all(body, F.lit(any_kind), F.lit(0)))
     named = F.transform(found, lambda m: F.struct(m.alias("m"), _kind_of(m, kinds).alias("k")))
-    frame = docs.select(*[F.col(f"`{c}`") for c in kept]).withColumn("_found", F.coalesce(named, F.array().cast("array<struct<m:string,k:int>>")))
+    frame = docs.select(*[F.col(f"`{c}`") for c in kept]).withColumn(listed, F.coalesce(named, F.array().cast("array<struct<m:string,k:int>>")))
 
     def replaced(e: Column) -> Column:
         out = e["m"]
@@ -284,12 +313,12 @@ def pseudonymise(docs: DataFrame, key: str = KEY, text: str = "text", kinds: tup
 
     between = F.split(body, any_kind)
     rebuilt = F.array_join(
-        F.flatten(F.zip_with(between, F.transform("_found", replaced), lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))), ""
+        F.flatten(F.zip_with(between, F.transform(listed, replaced), lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))), ""
     )
-    new = F.when(F.size("_found") == 0, body).otherwise(rebuilt)
-    count_of = lambda i: F.size(F.filter("_found", lambda e: e["k"] == i)).cast("long")
+    new = F.when(F.size(listed) == 0, body).otherwise(rebuilt)
+    count_of = lambda i: F.size(F.filter(listed, lambda e: e["k"] == i)).cast("long")
     counts = {f"n_{k.name}": count_of(i) for i, k in enumerate(kinds)}
-    return frame.withColumns({text: new, **counts, "n_found": F.size("_found").cast("long")}).drop("_found")
+    return frame.withColumns({text: new, **counts, "n_found": F.size(listed).cast("long")}).drop(listed)
 
 
 def _kind_of(m: Column, kinds: tuple[Kind, ...]) -> Column:
