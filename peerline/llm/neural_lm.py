@@ -26,14 +26,17 @@ from pyspark.sql import functions as F
 from peerline.session import materialise
 
 END = b"\n"  # no word holds a line break
-TOP = 767  # words with a class of their own
-SHARED = 256  # hashed classes of all other words
-WIDTH = 12
-NOISE = 24
-BATCH = 16384
+TOP = 1535  # words with a class of their own
+SHARED = 512  # hashed classes of all other words
+WIDTH = 16
+NOISE = 64
+BATCH = 1024
 ROUNDS = 2
-RATE = 0.08
-KNOWN = 65_536  # most frequent tokens whose counts every task holds; the rest are joined
+RATE = 0.3
+LEAST_STEPS = 2_000_000  # tokens the network sees at least: it goes through a smaller corpus several times
+MOST_PASSES = 20
+KNOWN = 65_536  # frequent tokens whose counts every task holds, at most; the rest are joined
+OCTAVE = 16  # steps in which counts are told apart when the frequent ones are picked
 LONGEST = 64  # bytes of a token in that table
 COUNT_BYTES = 48_000_000  # bytes of words that a task counts at a time
 TRAIN_BYTES = 4_000_000
@@ -220,8 +223,8 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def train(rows: DataFrame, own: list[bytes], listed: list[bytes], weights: np.ndarray, shared: int = SHARED, width: int = WIDTH, rounds: int = ROUNDS) -> Network:
-    """The network after every training row was seen once; round r takes the rows whose hash falls to it.
+def train(rows: DataFrame, own: list[bytes], listed: list[bytes], weights: np.ndarray, shared: int = SHARED, width: int = WIDTH, rounds: int = ROUNDS, passes: int = 1) -> Network:
+    """The network after every training row was seen `passes` times; round r takes the rows whose hash falls to it.
 
     Each task sends its parameters, of a size fixed by classes and width. They are added up in about the
     square root of their number of groups, and those sums are averaged on the driver.
@@ -244,11 +247,12 @@ def train(rows: DataFrame, own: list[bytes], listed: list[bytes], weights: np.nd
             def flush() -> int:
                 made = classes.runs(pa.concat_arrays(waiting))
                 runs, places = made.classes, made.targets
-                order = rng.permutation(places)
-                for start in range(0, len(order), BATCH):
-                    at = order[start : start + BATCH]
-                    noise = 1 + np.searchsorted(odds, rng.random(NOISE)).clip(0, len(odds) - 1)
-                    net.learn(runs[at - 1], runs[at - 2], runs[at], noise, noise_logs, sums)
+                for _ in range(passes):
+                    order = rng.permutation(places)
+                    for start in range(0, len(order), BATCH):
+                        at = order[start : start + BATCH]
+                        noise = 1 + np.searchsorted(odds, rng.random(NOISE)).clip(0, len(odds) - 1)
+                        net.learn(runs[at - 1], runs[at - 2], runs[at], noise, noise_logs, sums)
                 return len(places)
 
             for batch in batches:
@@ -286,13 +290,32 @@ def train(rows: DataFrame, own: list[bytes], listed: list[bytes], weights: np.nd
     return network
 
 
+def frequent_tokens(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
+    """Tokens of at most `LONGEST` bytes with the largest counts, in falling order; the end of a text is always among them.
+
+    A count from which no more than `most` tokens go up is found from a few hundred sums, so that no more than `most`
+    rows are ever sent.
+    """
+    ends = [r[0] for r in counts.filter(F.col("token") == F.lit(bytearray(END))).select("n").collect()]
+    words = counts.filter((F.octet_length("token") <= LONGEST) & (F.col("token") != F.lit(bytearray(END))))
+    step = F.floor(F.log2("n") * OCTAVE)
+    taken, least = 0, None
+    for r in words.groupBy(step.alias("step")).agg(F.count("*").alias("tokens")).orderBy(F.desc("step")).collect():
+        taken += r["tokens"]
+        if taken > most:
+            break
+        least = r["step"]
+    listed = [] if least is None else [(bytes(r[0]), r[1]) for r in words.filter(step >= least).select("token", "n").collect()]
+    return [(END, n) for n in ends] + sorted(listed, key=lambda x: (-x[1], x[0]))
+
+
 def score(docs: DataFrame, top: int = TOP, shared: int = SHARED, width: int = WIDTH, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every document.
 
     Learns from the documents that are not held out. A null text counts as empty and has one token, the end.
     Repeated rows count and are scored each on its own. Without training rows every count is 0 and the network is
-    untrained. Token counts stay in a table; only the `KNOWN` most frequent tokens of at most `LONGEST` bytes are sent to all tasks, the counts
-    of all others are joined. With all training tokens N and V distinct ones,
+    untrained. Token counts stay in a table; only up to `KNOWN` frequent tokens of at most `LONGEST` bytes are sent to all tasks, the counts
+    of all others are joined. Only doc_id and text are read; other columns may have any name. With all training tokens N and V distinct ones,
     base_score adds log10((c + 0.1) / (N + 0.1 (V + 1))).
     """
     context = docs.sparkSession.sparkContext
@@ -300,8 +323,7 @@ def score(docs: DataFrame, top: int = TOP, shared: int = SHARED, width: int = WI
     learned = rows.filter(~F.col("held_out"))
     counts = materialise(count_tokens(learned), "counts")
     n_all, n_distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    short = counts.filter(F.octet_length("token") <= LONGEST)
-    frequent = [(bytes(r[0]), r[1]) for r in short.orderBy(F.desc("n"), "token").limit(KNOWN).collect()]
+    frequent = frequent_tokens(counts, KNOWN)
     own = [t for t, _ in frequent if t != END][:top]
     own.append(END)
     classes = Classes(own, shared)
@@ -316,7 +338,8 @@ def score(docs: DataFrame, top: int = TOP, shared: int = SHARED, width: int = WI
         weights[i] = known.get(token, 0) + 0.1
     weights[0] = 0.1
     weights = (weights / weights.sum()).astype(np.float64)
-    network = train(learned, own, list(known), weights, shared, width, rounds)
+    passes = min(MOST_PASSES, max(1, -(-LEAST_STEPS // max(n_all, 1))))
+    network = train(learned, own, list(known), weights, shared, width, rounds, passes)
     first, second, norms = network.tables()
     sent = context.broadcast((own, known, first, second, norms))
 
