@@ -9,11 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from peerline.llm.common import let, window_hashes, words
+from peerline.operators.rows import fresh_name
 
 WINDOW = 8
 SYMBOLS = "#*$%&|<>"
 
-# Frequent function words of English, French, Spanish and German.
+# Frequent function words of English, French, Spanish and German, and how a table names these languages.
+LANGUAGES = ("en", "fr", "es", "de")
 STOP_WORDS = (
     "a an and are as at be by for from in is it not of on or that the this to was were with "
     "au avec ce dans de des du elle en est et il la le les ne pas pour que qui sur un une "
@@ -24,7 +26,7 @@ STOP_WORDS = (
 
 @dataclass(frozen=True)
 class Rule:
-    """A ratio of two measures must lie in [low, high]; texts under `least_words` words are not held to it."""
+    """A ratio of two measures must lie in [low, high]; texts under `least_words` words are not held to it, nor texts in other languages than `languages` if given."""
 
     name: str
     part: str
@@ -32,14 +34,15 @@ class Rule:
     low: float | None = None
     high: float | None = None
     least_words: int = 0
+    languages: tuple[str, ...] = ()
 
 
 RULES = (
     Rule("word_length", "word_chars", "n_words", 2.0, 12.0),
-    Rule("words", "n_words", None, 20, 1_000_000),
+    Rule("words", "n_words", None, 20),
     Rule("symbols", "n_symbols", "n_words", None, 0.1),
     Rule("shouts", "n_shouts", "n_words", None, 0.2),
-    Rule("stop_words", "n_stop_words", "n_words", 0.04, None, 40),
+    Rule("stop_words", "n_stop_words", "n_words", 0.04, None, 40, LANGUAGES),
     Rule("repeated_lines", "n_dup_lines", "n_lines", None, 0.4),
     Rule("repeated_words", "n_repeat_words", "n_words", None, 0.3),
 )
@@ -103,14 +106,16 @@ def measures(text: Column, ws: Column) -> dict[str, Column]:
     }
 
 
-def failed(rule: Rule, measure: Callable[[str], Column] = F.col) -> Column:
-    """Whether a row breaks the rule; a ratio over nothing breaks no rule."""
+def failed(rule: Rule, measure: Callable[[str], Column] = F.col, lang: Column | None = None) -> Column:
+    """Whether a row breaks the rule; a ratio over nothing breaks no rule. A text of no stated language is held to the lists of all."""
     whole = F.lit(1) if rule.whole is None else measure(rule.whole)
     part, broken = measure(rule.part), F.lit(False)
     if rule.low is not None:
         broken = broken | (part < F.lit(rule.low) * whole)
     if rule.high is not None:
         broken = broken | (part > F.lit(rule.high) * whole)
+    if rule.languages and lang is not None:
+        broken = broken & F.coalesce(F.lower(lang).isin(*rule.languages), F.lit(True))
     return broken & (measure("n_words") >= rule.least_words)
 
 
@@ -119,7 +124,7 @@ def base_failed(measure: Callable[[str], Column] = F.col) -> Column:
     return (measure("n_words") < 20) | (100 * measure("n_repeat_words") > 30 * measure("n_words"))
 
 
-def passes(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
+def passes(text: Column, rules: tuple[Rule, ...] = RULES, lang: Column | None = None) -> Column:
     """Whether a text passes, as one condition that binds the words and every measure.
 
     A filter gets its condition with all columns written out, so what several rules speak of would be measured again for each.
@@ -128,7 +133,7 @@ def passes(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
     def judged(m: Column) -> Column:
         broken = base_failed(m.getField)
         for rule in rules:
-            broken = broken | failed(rule, m.getField)
+            broken = broken | failed(rule, m.getField, lang)
         return ~broken
 
     def measured(t: Column) -> Column:
@@ -141,20 +146,23 @@ def assess(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text")
     """Add every measure, `failed_rules`, `base_failed` and `kept` to `docs`.
 
     All of it is one row-wise projection without user functions and without a shuffle.
-    A null or empty text has no words and fails. Repeated rows are judged alike. Columns of
-    `docs` that carry a name added here give way to the new one.
+    A null or empty text has no words and fails. Repeated rows are judged alike. A column `lang`, if there is one, tells which
+    texts the stop words fit. Columns of `docs` that carry the name of a measure or verdict give way to the new one; all others stay,
+    whatever their names.
     """
     added = [*measures(F.lit(""), F.array()), "failed_rules", "base_failed", "kept"]
     free = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in added])
     body = F.coalesce(F.col(text), F.lit(""))
-    measured = free.withColumn("_text", body).withColumn("_words", words(F.col("_text")))
-    measured = measured.withColumns(measures(F.col("_text"), F.col("_words"))).drop("_text", "_words")
-    verdicts = F.array(*[F.when(failed(r), F.lit(r.name)) for r in rules])
+    whole, cut = fresh_name("whole_text", docs), fresh_name("cut_words", docs)
+    measured = free.withColumn(whole, body).withColumn(cut, words(F.col(whole)))
+    measured = measured.withColumns(measures(F.col(whole), F.col(cut))).drop(whole, cut)
+    lang = F.col("lang") if "lang" in free.columns else None
+    verdicts = F.array(*[F.when(failed(r, lang=lang), F.lit(r.name)) for r in rules])
     return measured.withColumns(
         {"failed_rules": F.filter(verdicts, lambda r: r.isNotNull()), "base_failed": base_failed()}
     ).withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))
 
 
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The documents that pass, with the columns they came with."""
-    return docs.filter(passes(F.col("text"), rules))
+    """The documents that pass, with the columns they came with; nulls, repeated rows and languages as in `assess`."""
+    return docs.filter(passes(F.col("text"), rules, F.col("lang") if "lang" in docs.columns else None))

@@ -27,8 +27,8 @@ def op2_pieces(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_preferences(spark: SparkSession, folder: str) -> DataFrame:
-    """Every conversation's last reply against another conversation's, prompt once, completions with masks."""
-    return preferences.reply_preferences(table(spark, folder, "conversations"))
+    """Every conversation against one that shares its longest turn prefix, or against itself with another reply: prompt once, completions with masks."""
+    return preferences.longest_prefix_preferences(table(spark, folder, "conversations"))
 
 
 def op4_mixture(spark: SparkSession, folder: str) -> DataFrame:
@@ -40,7 +40,7 @@ def op4_mixture(spark: SparkSession, folder: str) -> DataFrame:
 
 def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Measures and verdict for every document."""
-    judged = quality.assess(table(spark, folder, "documents").select("doc_id", "text"))
+    judged = quality.assess(table(spark, folder, "documents").select("doc_id", "text", "lang"))
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
@@ -96,13 +96,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-STOPS = ", ".join(f"'{w}'" for w in sorted(set(quality.STOP_WORDS)))
+# The symbols and stop words the rules speak of, stated anew for the SQL.
+SYMBOLS = "#*$%&|<>"
+STOPS = ", ".join(
+    f"'{w}'"
+    for w in (
+        "a an and are as at auf au avec be by ce como con das dans de del dem den der des die du ein eine el elle en es est et for from"
+        " il in is ist it la las le les los mit ne nicht no not o of on or para pas por pour que qui se sich sie su sur sus that the this to"
+        " un una und une von was were with y zu"
+    ).split()
+)
 
 ORACLE = {
     "op5_quality": f"""
-WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t FROM documents),
 parts AS (
-  SELECT r, doc_id, t, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w,
+  SELECT r, doc_id, lang, t, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w,
          list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS l FROM docs),
 places AS (
   SELECT r, i, list_aggregate(w[i:i+7], 'string_agg', ' ') AS g
@@ -112,9 +121,9 @@ covered AS (
   SELECT r, sum(least(8, n)) AS c
   FROM (SELECT r, coalesce(i - lag(i) OVER (PARTITION BY r ORDER BY i), 8) AS n FROM again) GROUP BY r),
 m AS (
-  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+  SELECT doc_id, lang, CAST(len(w) AS BIGINT) AS n_words,
     CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
-    CAST(length(t) - length(translate(t, '{quality.SYMBOLS}', '')) AS BIGINT) AS n_symbols,
+    CAST(length(t) - length(translate(t, '{SYMBOLS}', '')) AS BIGINT) AS n_symbols,
     length(t) - length(replace(t, '!', '')) AS n_shouts,
     len(list_filter(w, lambda x: lower(trim(x, '.,;:!?')) IN ({STOPS}))) AS n_stop_words,
     len(l) AS n_lines, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
@@ -123,8 +132,8 @@ m AS (
 b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND NOT (
-    word_chars < 2.0 * n_words OR word_chars > 12.0 * n_words OR n_words > 1000000 OR n_symbols > 0.1 * n_words
-    OR n_shouts > 0.2 * n_words OR (n_words >= 40 AND n_stop_words < 0.04 * n_words) OR n_dup_lines > 0.4 * n_lines
+    word_chars < 2.0 * n_words OR word_chars > 12.0 * n_words OR n_symbols > 0.1 * n_words
+    OR n_shouts > 0.2 * n_words OR (n_words >= 40 AND n_stop_words < 0.04 * n_words AND coalesce(lower(lang) IN ('en', 'fr', 'es', 'de'), true)) OR n_dup_lines > 0.4 * n_lines
   ) AS kept
 FROM b""",
     "op9_neighbours": f"""
