@@ -66,6 +66,59 @@ def test_pseudonyms_keep_format_rules_and_links(spark):
     assert got[1].n_email == got[1].n_phone == got[1].n_card == 1
 
 
+def test_pseudonyms_of_upper_case_keys_and_month_first_dates(spark):
+    values = ["9233A8EC" * 4, "9233a8ec" * 5, "12/25/2021", "02-29-2024", "02/30/2021", "10/11/2021"]
+    docs = spark.createDataFrame([(k, v, "x", 7) for k, v in enumerate(values * 2)], "doc_id long, text string, found string, n_words long")
+    rows = pii.pseudonymise(docs).orderBy("doc_id").collect()
+    got = [r.text for r in rows]
+    assert got[: len(values)] == got[len(values) :] and {r.found for r in rows} == {"x"}
+    upper, lower, date, leap, wrong, day_first = got[: len(values)]
+    assert re.fullmatch("[0-9A-F]{32}", upper) and upper != values[0] and re.fullmatch("[0-9a-f]{40}", lower) and lower != values[1]
+    assert 1 <= int(date[:2]) <= 12 and 1 <= int(date[3:5]) <= 31 and date != values[2]
+    assert int(leap[6:]) % 4 == 0 and 1 <= int(leap[:2]) <= 12 and wrong == values[4]
+    assert 1 <= int(day_first[:2]) <= 31 and 1 <= int(day_first[3:5]) <= 12
+    assert pii.pseudonymise(docs, "one key").first().text != pii.pseudonymise(docs, "another").first().text
+    assert pii.pseudonymise(docs.limit(0)).count() == 0 and pii.session_key(spark) == pii.session_key(spark)
+
+
+def test_pseudonyms_agree_with_a_plain_feistel_network(spark):
+    """Access keys and addresses, by a network written out in plain Python."""
+
+    def digest(kind, i, half):
+        return "".join(hashlib.sha256(f"k|{kind}.{n}|{i}|{half}".encode()).hexdigest() for n in (0, 1))
+
+    def shift(text, stream):
+        out = []
+        for i, c in enumerate(text):
+            by = int(stream[2 * (i % 64) : 2 * (i % 64) + 2], 16)
+            low, size = (48, 10) if c.isdigit() else (97, 26) if c.islower() else (65, 26)
+            out.append(chr(low + (ord(c) - low + by) % size))
+        return "".join(out)
+
+    def access(value):
+        left, right = value[: len(value) // 2], value[len(value) // 2 :]
+        for i in range(1, pii.ROUNDS + 1):
+            left, right = right, shift(left, digest("access", i, right))
+        return left + right
+
+    def address(value):
+        a, b, c, d = map(int, value.split("."))
+        left, right = a * 256 + b, c * 256 + d
+        for i in range(1, pii.ROUNDS + 1):
+            if i % 2:
+                left = (left + int(digest("ip", i, right)[:15], 16)) % 65536
+            else:
+                right = (right + int(digest("ip", i, left)[:15], 16)) % 65536
+        return f"{left // 256}.{left % 256}.{right // 256}.{right % 256}"
+
+    some = random.Random(8)
+    keys = ["".join(some.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(16)) for _ in range(40)]
+    hosts = [".".join(str(some.randrange(256)) for _ in range(4)) for _ in range(40)]
+    docs = spark.createDataFrame([(k, f"use AKIA{a} at {b}, twice {b}") for k, (a, b) in enumerate(zip(keys, hosts))], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in pii.pseudonymise(docs, "k").collect()}
+    assert got == {k: f"use AKIA{access(a)} at {address(b)}, twice {address(b)}" for k, (a, b) in enumerate(zip(keys, hosts))}
+
+
 def test_pseudonyms_are_a_permutation(spark):
     cards = spark.range(2000).select(F.col("id").alias("doc_id"), F.concat(F.lit("card 4"), F.lpad(F.col("id").cast("string"), 12, "0")).alias("text"))
     assert pii.pseudonymise(cards).select("text").distinct().count() == 2000
@@ -151,7 +204,7 @@ def test_every_conversation_with_a_reply_has_a_rejected_one(spark, rows, tmp_pat
     table = [tuple(r) for r in spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
     want, parts = brute_replies(table), {}
     show = lambda t, r, x: (t, f"<|{r or ''}|>\n{x or ''}<|end|>\n")
-    for r in queries.op3_preferences(spark, folder).collect():
+    for r in preferences.reply_preferences(spark.read.parquet(f"{folder}/conversations.parquet")).collect():
         parts.setdefault(r.pair_id, {}).setdefault(r.part, []).append((r.turn, r.rendered))
         prompt, _, others, _ = want[r.pair_id]
         assert r.paired == bool(others) and r.prefix_turns == len({t for t, *_ in prompt})
@@ -167,6 +220,82 @@ def test_every_conversation_with_a_reply_has_a_rejected_one(spark, rows, tmp_pat
     assert preferences.reply_preferences(none).count() == 0
 
 
+def brute_prefixes(rows):
+    """Conversations as {turn: rows}, the pairs at longest prefixes as greedy rounds make them, and those left alone."""
+    convs = {}
+    for c, t, r, x in {x for x in rows if x[0] is not None and x[1] is not None}:
+        convs.setdefault(c, {}).setdefault(t, set()).add((r, x))
+    flat = {c: [(t, frozenset(ts[t])) for t in sorted(ts)] for c, ts in convs.items()}
+
+    def common(a, b):
+        n = 0
+        while n < min(len(flat[a]), len(flat[b])) and flat[a][n] == flat[b][n]:
+            n += 1
+        return n
+
+    left, pairs = set(flat), {}
+    while True:
+        at = {}
+        for c in left:
+            depth = max((common(c, d) for d in left if d != c), default=0)
+            if depth:
+                at.setdefault(tuple(flat[c][:depth]), []).append(c)
+        if not at:
+            return convs, flat, common, pairs, left
+        for members in at.values():
+            members.sort()
+            for a, b in zip(members[::2], members[1::2]):
+                pairs[a] = b
+                left -= {a, b}
+
+
+@pytest.mark.parametrize("rows", ["table", "made"])
+def test_conversations_are_paired_at_their_longest_prefix(spark, rows, tmp_path):
+    if rows == "table":
+        folder = FOLDER
+    else:
+        some, folder = random.Random(4), str(tmp_path)
+        made = []
+        for c in range(150):
+            texts_ = [some.choice("ab") if t < 5 else f"{c}" for t in range(some.randint(1, 7))]
+            made += [(c, t, "user" if t % 2 == 0 else "assistant", x) for t, x in enumerate(texts_)]
+        made += [(200 + c, t, "user" if t % 2 == 0 else "assistant", "common" if t == 0 else f"{c} {t}") for c in range(41) for t in range(3)]
+        # 301 shares one turn with 302 and three with 303.
+        for c, said in ((301, "pqrs"), (302, "pxyz"), (303, "pqrt"), (304, "k"), (305, "kl")):
+            made += [(c, t, "user" if t % 2 == 0 else "assistant", x * 5) for t, x in enumerate(said)]
+        made += made[:30] + [(400 + c, t, r, f"own {c} {t}") for c in range(9) for t, r in enumerate(("user", "assistant", "user"))]
+        made += [(420, 0, None, None), (421, 0, "user", "no reply at all"), (None, 0, "user", "x"), (422, None, "assistant", "x")]
+        spark.createDataFrame(made, "conv_id long, turn long, role string, text string").write.parquet(f"{folder}/conversations.parquet")
+    frame = spark.read.parquet(f"{folder}/conversations.parquet")
+    table = [tuple(r) for r in frame.select("conv_id", "turn", "role", "text").collect()]
+    convs, flat, common, pairs, alone = brute_prefixes(table)
+    assert rows == "table" or pairs[301] == 303
+    got = {(r.conv_id, r.pair_id): r.side for r in preferences.pair_at_longest_prefix(preferences.clean_turns(frame)).collect()}
+    want = {(a, a): 0 for a in pairs} | {(b, a): 1 for a, b in pairs.items()} | {(c, c): 0 for c in alone}
+    assert got == want
+
+    parts = {}
+    for r in queries.op3_preferences(spark, folder).collect():
+        parts.setdefault(r.pair_id, {}).setdefault(r.part, []).append((r.turn, r.rendered, r.conv_id))
+        assert r.loss_mask == int(r.part != "prompt" and r.role == "assistant")
+    assert set(parts) == set(pairs) | alone
+    show = lambda c, keep, as_: sorted((t, f"<|{r or ''}|>\n{x or ''}<|end|>\n", as_) for t, ts in convs[c].items() if keep(t) for r, x in ts)
+    replies = brute_replies(table)
+    for a, b in pairs.items():
+        n = common(a, b)
+        fork = min([t for t, _ in flat[a][n:]] + [t for t, _ in flat[b][n:]], default=10**9)
+        assert sorted(parts[a].get("prompt", [])) == show(a, lambda t: t < fork, a)  # noqa: B023
+        assert sorted(parts[a].get("chosen", [])) == show(a, lambda t: t >= fork, a)  # noqa: B023
+        assert sorted(parts[a].get("rejected", [])) == show(b, lambda t: t >= fork, b)  # noqa: B023
+    for c in alone:
+        prompt, chosen, others, fork = replies[c]
+        assert len(parts[c].get("prompt", [])) == len(prompt) and len(parts[c]["chosen"]) == len(chosen)
+        given = [(t, x) for t, x, _ in parts[c].get("rejected", [])]
+        assert not others or sorted(given) in [sorted((fork, f"<|{r or ''}|>\n{x or ''}<|end|>\n") for r, x in o) for o in others]
+        assert all(d != c for *_, d in parts[c].get("rejected", []))
+    assert preferences.longest_prefix_preferences(frame.limit(0)).count() == 0
+
+
 # --- mixing -----------------------------------------------------------------
 
 
@@ -204,6 +333,17 @@ def test_mixture(spark, documents, awkward):
 # --- quality ----------------------------------------------------------------
 
 
+def test_quality_of_very_long_texts_and_other_languages(spark):
+    prose = "ta mere prose of no known words goes along here and no rule of size or list shall stop it "
+    rows = [(1, " ".join(f"word{k}" for k in range(1_000_100)), "fi", "x"), (2, " ".join(f"sana{k}" for k in range(60)), "fi", "y"),
+            (3, " ".join(f"sana{k}" for k in range(60)), "en", "y"), (4, " ".join(f"sana{k}" for k in range(60)), None, "y"), (5, prose * 2, "EN", "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, _text string")
+    got = {r.doc_id: r for r in quality.assess(docs).drop("text").collect()}
+    assert {d: r.kept for d, r in got.items()} == {1: True, 2: True, 3: False, 4: False, 5: got[5].kept}
+    assert {r._text for r in got.values()} == {"x", "y", "z"}
+    assert {r.doc_id for r in quality.keep_good(docs).select("doc_id").collect()} == {d for d, r in got.items() if r.kept}
+
+
 def test_quality_on_awkward_rows(awkward):
     got = quality.assess(awkward).collect()
     assert len(got) == len(AWKWARD)
@@ -216,7 +356,9 @@ def test_quality_on_awkward_rows(awkward):
 # --- language model ---------------------------------------------------------
 
 
-def test_neural_scores(spark, documents, awkward):
+@pytest.mark.parametrize("known", [neural_lm.KNOWN, 2])
+def test_neural_scores(spark, documents, awkward, monkeypatch, known):
+    monkeypatch.setattr(neural_lm, "KNOWN", known)
     docs = documents.select("doc_id", "text").unionByName(awkward.select("doc_id", "text"))
     got = neural_lm.score(docs, top=60, shared=8, rounds=1).collect()
     rows = texts(docs)
@@ -231,6 +373,23 @@ def test_neural_scores(spark, documents, awkward):
     assert neural_lm.score(docs.limit(0)).count() == 0
 
 
+def test_frequent_tokens_never_exceed_their_number(spark):
+    counts = spark.createDataFrame([(bytearray(f"w{k}".encode()), 1 + 1000 // (k + 1)) for k in range(500)] + [(bytearray(b"\n"), 1)], "token binary, n long")
+    for most in (0, 1, 7, 100, 10_000):
+        got = neural_lm.frequent_tokens(counts, most)
+        assert got[0] == (b"\n", 1) and len(got) <= most + 1 and [n for _, n in got[1:]] == sorted((n for _, n in got[1:]), reverse=True)
+        least = min((n for _, n in got[1:]), default=10**9)
+        missed = [r.n for r in counts.collect() if bytes(r.token) not in dict(got)]
+        assert all(n < least for n in missed)
+
+
+def test_network_scores_held_out_texts_better_than_counts(spark):
+    """Log10 a token over the held-out texts of sf0.01: the network's context is worth a tenth at least."""
+    got = neural_lm.score(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).filter("held_out")
+    n, base, model = got.select(F.sum("n_tokens"), F.sum("base_score"), F.sum("score")).first()
+    assert model / n > base / n + 0.1
+
+
 def test_network_probabilities_add_up_and_learn():
     rng = np.random.default_rng(0)
     runs = np.tile([1, 2, 3, 4], 4000) * 1
