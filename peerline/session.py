@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import contextlib
 import contextvars
-import functools
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -30,22 +28,12 @@ def build_session(app: str = "peerline", master: str | None = None, **conf: str)
 
 
 def working_folder(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables, taken from `spark.checkpoint.dir`.
+    """The shared folder for intermediate tables: `spark.checkpoint.dir`, or a part of the warehouse where that is unset.
 
-    Only a local session may fall back to a folder of its own: on a cluster the
-    executors would not see it.
+    Both are places that every executor can reach; a machine's own temporary folder is not.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    return _local_folder()
-
-
-@functools.cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    return folder.rstrip("/") if folder else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/working"
 
 
 _job: contextvars.ContextVar[str | None] = contextvars.ContextVar("job", default=None)
