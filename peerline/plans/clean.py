@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from peerline.functions.numbers import scrub_placeholder, to_decimal, to_whole
 from peerline.functions.periods import quarter_from_name
 from peerline.functions.text import text_array
-from peerline.operators.rows import dedup_wide_rows, drop_sparse_rows, not_null, peer_flag, start_at_anchor
+from peerline.operators.rows import dedup_rows, drop_sparse_rows, not_null, peer_flag, start_at_anchor
 from peerline.session import materialise
 from peerline.sources.grid import file_name, trimmed
 from peerline.specs import PEER_FLAG, QUARTER, Measure, TableSpec
@@ -22,13 +22,12 @@ LEAST_CELLS_PER_ROW = 3
 def _profile(grid: DataFrame) -> DataFrame:
     """Per file: its first row, and how many cells of each column are filled over all rows, as a map from the column's place.
 
-    One aggregate keyed by file and place: only filled cells are counted, so a wide sheet costs its cells and
-    a wide line costs itself. Place -1 stands for the row, so that rows without cells count as well.
+    One aggregate keyed by file and place: a wide sheet costs its cells, and a wide line costs itself. A row
+    without cells has no place, and counts for the first row all the same.
     """
-    filled = F.filter(F.transform("cells", lambda c, i: F.when(c.isNotNull(), i)), lambda i: i.isNotNull())
-    places = grid.select("file", "row_no", F.explode(F.concat(F.array(F.lit(-1)), filled)).alias("place"))
-    counted = places.groupBy("file", "place").agg(F.count(F.lit(1)).alias("n"), F.min("row_no").alias("first_row"))
-    entries = F.collect_list(F.when(F.col("place") >= 0, F.struct("place", "n")))
+    places = grid.select("file", "row_no", F.posexplode_outer("cells").alias("place", "cell"))
+    counted = places.groupBy("file", "place").agg(F.count("cell").alias("n"), F.min("row_no").alias("first_row"))
+    entries = F.collect_list(F.when(F.col("n") > 0, F.struct("place", "n")))
     return counted.groupBy("file").agg(F.min("first_row").alias("first_row"), F.map_from_entries(entries).alias("filled"))
 
 
@@ -124,8 +123,8 @@ def clean(
 
     The per-file layout and the deduplicated rows are written as working tables:
     both are used twice, and Catalyst then knows the layout's true size and
-    sends it to the tasks only if it is small. Of the grid only hashes of its rows are shuffled, and
-    the rows whose hash occurs twice. The grid is read three times: for the columns filled, the repeated rows and the result.
+    sends it to the tasks only if it is small. The grid is read twice, for the columns filled and for the result, and shuffled
+    once, for the duplicates, with copies collapsed beforehand.
     """
     layout = materialise(_layout(grid, spec, width, above, least_per_column), f"{spec.name}-layout")
     body = grid.join(layout.select("file", "header_row", "kept", "last"), "file").filter(F.col("row_no") > F.col("header_row"))
@@ -134,8 +133,11 @@ def clean(
     # their own, they go with the missing ids.
     cut = F.slice("cells", 1, F.col("last"))
     masked = F.transform(cut, lambda c, i: F.when(F.get("kept", i), c))
-    body = body.select("file", "row_no", trimmed(F.when(F.col("kept").isNull(), cut).otherwise(masked)).alias("cells"))
-    rows = dedup_wide_rows(body, ["file", "cells"], "row_no").join(layout.select("file", QUARTER, "positions"), "file")
+    # Most rows are as long as their last filled cell and no longer than the columns that count: they stay as they are.
+    plain = F.col("kept").isNull() & (F.size("cells") <= F.col("last")) & F.get("cells", F.size("cells") - 1).isNotNull()
+    whole = F.when(plain, F.col("cells")).otherwise(trimmed(F.when(F.col("kept").isNull(), cut).otherwise(masked)))
+    body = body.select("file", "row_no", whole.alias("cells"))
+    rows = dedup_rows(body, ["file", "cells"], "row_no").join(layout.select("file", QUARTER, "positions"), "file")
     names = [*spec.key_columns, *spec.measure_columns]
     rows = rows.selectExpr(
         "file", QUARTER, "row_no", *(f"get(cells, get(positions, {k})) as {c}" for k, c in enumerate(names))

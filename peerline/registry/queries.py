@@ -198,7 +198,8 @@ def quarter_from_names(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def peer_flags(spark: SparkSession, folder: str) -> DataFrame:
-    named = X.customer_nations(spark, folder)
+    nations = X.read_table(spark, folder, "nation")
+    named = X.read_table(spark, folder, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
     return named.select("c_custkey", "n_name", R.peer_flag(F.col("n_name"), X.PEER_NATIONS).alias(PEER_FLAG))
 
 
