@@ -5,6 +5,11 @@ sampled down to the shingles whose hash lies under a bound that shrinks with the
 shingles together. Each of `runs` runs hands a set on along sampled shingles; a path that too many sets
 share is split again along further shingles, and small buckets are compared directly. A linked pair shares about
 one path a run on average, so the runs multiply until the target recall.
+
+Near copies of one text share most shingles and no split parts them. Such a crowd is measured against a pivot instead:
+Jaccard distance is a metric, so members whose distances to the pivot add up to 0.2 at most are linked, and members whose
+distances differ by more are not, without a look. Ordered by that distance a crowd falls into blocks; links between
+blocks of the first kind are counted, blocks of the second kind never meet, and only the others are compared.
 """
 
 from __future__ import annotations
@@ -19,7 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from peerline.llm.bwt_repeats import BASE, Rolling, binary, mixed, slices
-from peerline.llm.common import connected_components
+from peerline.llm.common import connected_components, with_prefix_sums
+from peerline.operators.rows import fresh_name
 from peerline.session import materialise
 
 SHINGLE = 5
@@ -27,23 +33,25 @@ SIMILARITY = 0.8
 RECALL = 0.99
 SKETCH = 48  # sampled shingles kept of a set, on average, to split buckets and to judge pairs
 SMALL = 64  # sets in a bucket that are compared directly
-DEPTH = 4  # splits before a bucket is compared block by block
+DEPTH = 4  # splits after which a bucket counts as a crowd, whatever it looks like
 SPLIT = 1.5  # shared shingles that hand a pair on, on average, at each split
 LIKELY = 0.55  # sampled similarity from which a pair is read in full
-BLOCK = 256  # sets in a block of a large bucket
+BLOCK_SETS = 2048  # sets in a block of a crowd at most
+BLOCK_SHINGLES = 1 << 20  # their shingles, but for the last set's
 PAIRS = 4096  # pairs read in one group
-DENSE = 0.4  # sampled similarity to one member, on average, from which a large bucket is compared as it is
+DENSE = 0.25  # sampled similarity to one member, on average, from which a bucket counts as a crowd: above it splits hardly part it
+COLUMNS = 4096  # shingles in one matrix product
 SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
 
 def runs_for(recall: float) -> int:
     """Runs after which a pair that shares one path a run on average is found with this probability.
 
-    A pair of a large bucket survives `DEPTH` further splits of SPLIT shared shingles each with the
-    probability of a branching process.
+    A pair of a large bucket survives any number of further splits of SPLIT shared shingles each with the
+    probability that a branching process never dies out.
     """
     survive = 1.0
-    for _ in range(DEPTH):
+    for _ in range(200):
         survive = 1 - math.exp(-SPLIT * survive)
     return max(1, math.ceil(-math.log(1 - recall) / survive))
 
@@ -192,36 +200,36 @@ def _confirm(key: tuple, sets: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFram
 
 
 def _block_pairs(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    """Links of one pair of blocks of a large bucket: how many each set has, and a forest of them.
+    """Links between two blocks of a crowd, or within one: how many each set has, and a forest of them.
 
-    A pair belongs to the first large bucket that holds both, so it is counted once. Rows: (a, b, links);
-    b is null where the row counts links of a, links is 0 where it is an edge of the forest.
+    Rows: (a, b, links); b is null where the row counts links of a, links is 0 where it is an edge of the forest.
     """
     first, second = int(key[1]), int(key[2])
-    path = int(key[0])
     ids, full, copies = _read_sets(rows)
     block = rows["block"].to_numpy(np.int64)
-    paths = [np.asarray(p, np.int64) for p in rows["paths"]]
-    vocabulary, codes = np.unique(np.concatenate(full), return_inverse=True)
     sizes = np.array([len(f) for f in full])
+    vocabulary, codes, times = np.unique(np.concatenate(full), return_inverse=True, return_counts=True)
     owner = np.repeat(np.arange(len(full)), sizes)
-    dense = np.zeros((len(full), min(len(vocabulary), 4096)), np.float32)
-    shared = np.zeros((len(full), len(full)), np.float32)
-    for start in range(0, len(vocabulary), dense.shape[1]):
-        dense[:] = 0
-        here = (codes >= start) & (codes < start + dense.shape[1])
+    # Shingles of one set alone are shared by no pair.
+    common = np.cumsum(times > 1) - 1
+    owner, codes = owner[times[codes] > 1], common[codes[times[codes] > 1]]
+    left, right = np.flatnonzero(block == first), np.flatnonzero(block == second)
+    shared = np.zeros((len(left), len(right)), np.float32)
+    for start in range(0, int(codes.max(initial=-1)) + 1, COLUMNS):
+        here = (codes >= start) & (codes < start + COLUMNS)
+        dense = np.zeros((len(full), COLUMNS), np.float32)
         dense[owner[here], codes[here] - start] = 1
-        shared += dense @ dense.T
-    linked = shared >= SIMILARITY * (sizes[:, None] + sizes[None, :] - shared) - 1e-6
-    np.fill_diagonal(linked, False)
-    if first != second:
-        linked &= block[:, None] != block[None, :]
-    every, held = np.unique(np.concatenate(paths), return_inverse=True)
-    member = np.zeros((len(full), len(every)), np.float32)
-    member[np.repeat(np.arange(len(full)), [len(p) for p in paths]), held] = 1
-    before = member[:, every < path]
-    linked &= (before @ before.T) == 0
-    links = linked @ copies
+        shared += dense[left] @ dense[right].T
+    linked = shared >= SIMILARITY * (sizes[left][:, None] + sizes[right][None, :] - shared) - 1e-6
+    links = np.zeros(len(full), np.int64)
+    if first == second:
+        np.fill_diagonal(linked, False)
+    else:
+        links[right] = linked.T @ copies[left]
+    links[left] += linked @ copies[right]
+    near = np.zeros((len(full), len(full)), bool)
+    near[np.ix_(left, right)] = linked
+    near |= near.T
     out = [(int(ids[i]), None, int(links[i])) for i in np.flatnonzero(links)]
     reached = np.zeros(len(ids), bool)
     for root in range(len(ids)):
@@ -231,13 +239,82 @@ def _block_pairs(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         edge = [root]
         while edge:
             at = edge.pop()
-            new = np.flatnonzero(linked[at] & ~reached)
+            new = np.flatnonzero(near[at] & ~reached)
             reached[new] = True
             out += [(int(ids[at]), int(ids[j]), 0) for j in new]
             edge += new.tolist()
     return pd.DataFrame({"a": [r[0] for r in out], "b": pd.array([r[1] for r in out], "Int64"), "links": [r[2] for r in out]})
 
 
+def _crowds(in_large: DataFrame) -> DataFrame:
+    """(set, crowd, held): buckets that share members are one crowd; `held` counts the buckets a set is in."""
+    heads = in_large.groupBy("path").agg(F.min("set").alias("head"))
+    held = in_large.groupBy("set").agg(F.count("*").alias("held"))
+    edges = in_large.join(heads, "path").select(F.col("set").alias("a"), F.col("head").alias("b"))
+    labels = connected_components(edges)
+    return labels.select(F.col("node").alias("set"), F.col("component").alias("crowd")).join(held, "set")
+
+
+def _crowd_links(crowds: DataFrame, full: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Edges (a, b) that connect what is linked within each crowd, and (set, links) of its members.
+
+    Every member meets its crowd's pivot once, the member that most buckets hold. A block of members meets another
+    only where the distances to the pivot leave open whether they are linked.
+    """
+    parts = int(full.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    far = 1 - SIMILARITY
+    pivots = crowds.groupBy("crowd").agg(F.max_by("set", F.struct("held", -F.col("set"))).alias("pivot"))
+    pivots = materialise(pivots.join(full.select(F.col("set").alias("pivot"), F.col("s").alias("pivot_s")), "pivot"), "pivots")
+    shared = F.size(F.array_intersect("s", "pivot_s"))
+    measured = (
+        crowds.select("set", "crowd").join(full, "set").join(pivots, "crowd").select(
+            "crowd", "set", "copies", "pivot", F.size("s").alias("n"),
+            (1 - shared / (F.size("s") + F.size("pivot_s") - shared)).alias("distance"),
+        )
+    )
+    weight = F.greatest(F.col("n"), F.lit(BLOCK_SHINGLES // BLOCK_SETS))
+    measured = materialise(measured.withColumn("weight", weight), "measured")
+    placed = with_prefix_sums(measured, ["crowd"], ["distance", "set"], "weight", parts).select(
+        "crowd", "set", "copies", "pivot", "distance", F.expr(f"before div {BLOCK_SHINGLES}").alias("block")
+    )
+    placed = materialise(placed, "placed")
+    spans = materialise(
+        placed.groupBy("crowd", "block").agg(
+            F.min("distance").alias("low"), F.max("distance").alias("high"), F.sum("copies").alias("all_copies")
+        ),
+        "spans",
+    )
+    others = spans.select("crowd", *(F.col(c).alias(f"{c}2") for c in ("block", "low", "high", "all_copies")))
+    meets = spans.join(others, "crowd").filter((F.col("block") <= F.col("block2")) & (F.col("low2") - F.col("high") <= far + 1e-9))
+    meets = materialise(meets.withColumn("sure", F.col("high") + F.col("high2") <= far - 1e-9), "meets")
+
+    sure, own = meets.filter("sure"), F.col("block") == F.col("block2")
+    gained = sure.select("crowd", "block", F.col("all_copies2").alias("links"), own.alias("own")).unionByName(
+        sure.filter(~own).select("crowd", F.col("block2").alias("block"), F.col("all_copies").alias("links"), F.lit(False).alias("own"))
+    )
+    gained = gained.groupBy("crowd", "block").agg(F.sum("links").alias("links"), F.max("own").alias("own"))
+    counted = placed.join(gained, ["crowd", "block"]).select(
+        "set", (F.col("links") - F.when(F.col("own"), F.col("copies")).otherwise(0)).alias("links")
+    )
+    # Whatever is linked for sure is linked to the pivot.
+    to_pivot = placed.filter((F.col("distance") <= far + 1e-9) & (F.col("set") != F.col("pivot")))
+
+    open_ = meets.filter(~F.col("sure")).select("crowd", F.col("block").alias("b1"), F.col("block2").alias("b2"))
+    sides = open_.select("crowd", F.col("b1").alias("block"), "b1", "b2").unionByName(
+        open_.filter("b1 <> b2").select("crowd", F.col("b2").alias("block"), "b1", "b2")
+    )
+    compared = materialise(
+        placed.select("crowd", "block", "set").join(sides, ["crowd", "block"]).join(full, "set").groupBy("crowd", "b1", "b2").applyInPandas(
+            _block_pairs, "a long, b long, links long"
+        ),
+        "crowd-links",
+    )
+    edges = to_pivot.select(F.col("set").alias("a"), F.col("pivot").alias("b")).unionByName(
+        compared.filter("b is not null").select("a", "b")
+    )
+    return edges, counted.unionByName(compared.filter("b is null").select(F.col("a").alias("set"), "links"))
+
+
 def near_duplicates(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     """(doc_id, class_id, n_links, n_copies) for every row of `docs`.
 
@@ -246,9 +323,12 @@ def near_duplicates(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     sets are joined first and stand for one set. A text of one to four words is one shingle; null, empty and blank texts have none and link
     to nothing. Rows without a doc_id link like all others, but name no class, and their own stays null.
 
-    Whatever the size of a bucket, all of it is used: buckets over `SMALL` sets are split again, and those that
-    stay large, as near copies of each other do, are compared block by block, where a pair belongs to one
-    bucket and links are counted in place instead of being sent as pairs.
+    Whatever the size of a bucket, all of it is used: buckets over `SMALL` sets are split again until they are small
+    or made of near copies of each other. Those that share members form a crowd, which is measured against a pivot: a
+    set is sent to its pivot and to the blocks for which that distance leaves the answer open, and links are
+    counted in place instead of being sent as pairs.
+
+    Only doc_id and text are read; other columns may have any name.
     """
     spark = docs.sparkSession
     runs = runs_for(recall)
@@ -318,16 +398,22 @@ def near_duplicates(docs: DataFrame, recall: float = RECALL) -> DataFrame:
         for more in large[1:]:
             every = every.unionByName(more)
         in_large = materialise(every.distinct(), "large")
-    if in_large is not None:
-        lists = in_large.groupBy("set").agg(F.collect_set("path").alias("paths"))
-        likely = likely.join(lists.select(F.col("set").alias("a"), F.col("paths").alias("_pa")), "a", "left").join(
-            lists.select(F.col("set").alias("b"), F.col("paths").alias("_pb")), "b", "left"
-        ).filter(~F.coalesce(F.arrays_overlap("_pa", "_pb"), F.lit(False))).select("a", "b")
+    crowds = None
+    if in_large is not None and not in_large.isEmpty():
+        crowds = materialise(_crowds(in_large), "crowds")
+        # Pairs within a crowd are counted there.
+        of = crowds.select("set", "crowd")
+        likely = (
+            likely.join(of.withColumnsRenamed({"set": "a", "crowd": "crowd_a"}), "a", "left")
+            .join(of.withColumnsRenamed({"set": "b", "crowd": "crowd_b"}), "b", "left")
+            .filter(F.coalesce(F.col("crowd_a") != F.col("crowd_b"), F.lit(True)))
+            .select("a", "b")
+        )
     likely = materialise(likely, "likely")
     groups = max(1, -(-likely.count() // PAIRS))
     # A pair goes to the group of its first set's smallest shingle, where most of its kin go as well.
-    keyed = likely.join(sets.select(F.col("set").alias("a"), F.xxhash64(F.array_min("near")).alias("_k")), "a").select(
-        "a", "b", F.pmod("_k", F.lit(4 * groups)).alias("group")
+    keyed = likely.join(sets.select(F.col("set").alias("a"), F.xxhash64(F.array_min("near")).alias("kin")), "a").select(
+        "a", "b", F.pmod("kin", F.lit(4 * groups)).alias("group")
     )
     crowd = keyed.groupBy("group").agg(F.count("*").alias("pairs"))
     spread = F.pmod(F.xxhash64("a"), F.greatest(F.expr(f"pairs div {PAIRS}"), F.lit(1)))
@@ -335,8 +421,8 @@ def near_duplicates(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     wanted = keyed.select(F.col("group").alias("slot"), F.col("a").alias("set")).union(keyed.select("group", "b")).distinct()
 
     needed = wanted.select("set")
-    if in_large is not None:
-        needed = needed.union(in_large.select("set"))
+    if crowds is not None:
+        needed = needed.union(crowds.select("set"))
     # The full sets of those that are to be read, from one row each; a set may have no row with a doc_id.
     reading = needed.distinct().join(sets.select("set", "row", "x", "copies"), "set")
     texts = docs.select("text", _row()).join(reading, "row").select("text", "set", "copies", "x")
@@ -354,37 +440,9 @@ def near_duplicates(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     )
     links = ends.join(copies.select(F.col("set").alias("other"), "copies"), "other").select("set", F.col("copies").alias("links"))
     edges = confirmed
-    if in_large is not None:
-        lists = in_large.groupBy("set").agg(F.collect_set("path").alias("paths"))
-        # Members whose first large bucket is the same have met there: they form blocks that need not meet again.
-        placed = in_large.join(lists.withColumn("first", F.array_min("paths")), "set")
-        groups_in = placed.groupBy("path", "first").agg((F.lit(1) + F.expr(f"count(*) div {BLOCK}")).alias("parts"))
-        groups_in = materialise(groups_in, "groups")
-        placed = materialise(
-            placed.join(groups_in, ["path", "first"]).select(
-                "set", "path", "paths", F.xxhash64("first", F.pmod(F.xxhash64("set", "path"), F.col("parts"))).alias("block")
-            ),
-            "placed",
-        )
-        blocks = groups_in.select(
-            "path", "first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")
-        ).select("path", "first", F.xxhash64("first", "part").alias("block"))
-        others = blocks.select(F.col("path").alias("path2"), F.col("first").alias("first2"), F.col("block").alias("block2"))
-        meets = blocks.join(others, (F.col("path") == F.col("path2")) & (F.col("block") <= F.col("block2"))).filter(
-            (F.col("first") != F.col("first2")) | (F.col("first") == F.col("path"))
-        )
-        meets = materialise(meets.select("path", F.col("block").alias("b1"), F.col("block2").alias("b2")), "meets")
-        sides = meets.select("path", F.col("b1").alias("block"), "b1", "b2").union(
-            meets.filter("b1 <> b2").select("path", F.col("b2"), "b1", "b2")
-        )
-        dense = materialise(
-            placed.join(sides, ["path", "block"]).join(full, "set").groupBy("path", "b1", "b2").applyInPandas(
-                _block_pairs, "a long, b long, links long"
-            ),
-            "dense-links",
-        )
-        edges = edges.union(dense.filter("b is not null").select("a", "b"))
-        links = links.union(dense.filter("b is null").select("a", "links"))
+    if crowds is not None:
+        crowd_edges, crowd_links = _crowd_links(crowds, full)
+        edges, links = edges.unionByName(crowd_edges), links.unionByName(crowd_links)
     labels = connected_components(edges)
     named = sets.select("set", "x", "y", "copies", "doc")
     heads = labels.join(named.select("set", "doc"), labels["node"] == F.col("set")).groupBy("component").agg(F.min("doc").alias("head"))
@@ -414,8 +472,10 @@ def one_of_each(docs: DataFrame, recall: float = RECALL) -> DataFrame:
     Blank texts and rows without a doc_id all stay. Repeated rows leave one, which costs a shuffle only
     where an id is there twice.
     """
-    kept = near_duplicates(docs, recall).filter(F.col("class_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    rows = docs.join(kept, docs["doc_id"].eqNullSafe(F.col("_kept")), "left_semi")
+    key = fresh_name("kept", docs)
+    classes = near_duplicates(docs.select("doc_id", "text"), recall)
+    kept = classes.filter(F.col("class_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias(key)).distinct()
+    rows = docs.join(kept, docs["doc_id"].eqNullSafe(F.col(key)), "left_semi")
     if docs.groupBy("doc_id").count().filter("count > 1").isEmpty():
         return rows
     return rows.dropDuplicates(["doc_id", "text"])
