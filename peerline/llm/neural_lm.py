@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from peerline.session import materialise
 
 END = b"\n"  # no word holds a line break
-TOP = 1535  # words with a class of their own
-SHARED = 512  # hashed classes of all other words
+TOP = 1023  # words with a class of their own
+SHARED = 256  # hashed classes of all other words
 WIDTH = 16
 NOISE = 64
 BATCH = 1024
